@@ -112,7 +112,8 @@ def pending_nothing_done(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @check("""
-    SELECT DISTINCT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS order_id
+    SELECT DISTINCT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey::VARCHAR
+                         ELSE 'no id' END AS order_id
     FROM orders
     WHERE o_orderstatus = 'P'
        OR NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
@@ -123,7 +124,10 @@ def pending_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("order_id")
     )
     done = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "order_id")
-    return backlog.pending(work, done, ["order_id"])
+    open_ids = backlog.pending(work, done, ["order_id"])
+    return open_ids.select(
+        F.coalesce(F.col("order_id").cast("string"), F.lit("no id")).alias("order_id")
+    )
 
 
 @check("""

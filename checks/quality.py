@@ -88,8 +88,9 @@ def split_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check("SELECT user_id, event_id, value FROM events")
 def conform(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Undeclared fields are dropped, declared ones come in declared order."""
-    declared = T.StructType.fromDDL("user_id BIGINT, event_id BIGINT, value DOUBLE")
-    return quality.conform(table(spark, sf_dir, "events"), declared)
+    declared = ["user_id", "event_id", "value"]
+    events = table(spark, sf_dir, "events")
+    return quality.conform(events, T.StructType([events.schema[c] for c in declared]))
 
 
 @check("""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,16 +19,31 @@ def entity_stats(
 ) -> DataFrame:
     """Exact distinct counts, minima, maxima and null-skipping means per key.
 
-    Each mapping is output name -> input column. With one distinct column Spark
-    aggregates by key and distinct value first, so the rows of a hot key are
-    spread over its values before they meet.
+    Each mapping is output name -> input column. Every distinct count is a branch
+    of its own: it shuffles only the keys and its column, first by key and value,
+    so that a hot key is spread over its values. The other aggregates shrink to
+    one row per key and map task before they are shuffled. In one aggregate with
+    the distinct count they would travel once per distinct value instead.
     """
-    return df.groupBy(*keys).agg(
-        *[F.count_distinct(F.col(c)).alias(n) for n, c in distinct.items()],
+    plain = [
         *[F.min(c).alias(n) for n, c in first.items()],
         *[F.max(c).alias(n) for n, c in last.items()],
         *[F.avg(c).alias(n) for n, c in means.items()],
+    ]
+    branches = [
+        df.groupBy(*keys).agg(F.count_distinct(F.col(c)).alias(n))
+        for n, c in distinct.items()
+    ]
+    if plain:
+        branches.append(df.groupBy(*keys).agg(*plain))
+    if len(branches) == 1:
+        return branches[0]
+    # One row per key and branch; null keys meet here like any other.
+    together = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True), branches
     )
+    names = [*distinct, *first, *last, *means]
+    return together.groupBy(*keys).agg(*[F.max(n).alias(n) for n in names])
 
 
 def side_counts(

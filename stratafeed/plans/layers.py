@@ -107,7 +107,7 @@ def land_details(
         return files.select_landable(of_known, landed, "Game.GameId", "GameId")
 
     def store(batch: DataFrame, number: int) -> None:
-        own = f"batch-{number}"
+        own = f"batch={number}"
         docs = batch.where("Game.GameId is not null")
         landable(docs, own).write.mode("overwrite").parquet(f"{payloads}/{own}")
         docs.join(
@@ -119,7 +119,7 @@ def land_details(
         docs = files.read_parquet(
             spark, [f"{waiting}/{name}" for name in early], PAYLOAD_SCHEMA
         )
-        own = f"late-{len(list_folders(spark, payloads))}"
+        own = f"batch=late-{len(list_folders(spark, payloads))}"
         landable(docs, own).write.mode("overwrite").parquet(f"{payloads}/{own}")
     stream = files.stream_payloads(spark, inbox, PAYLOAD_SCHEMA, one_per_file)
     drain(stream, store, lake.raw("payloads_checkpoint"))
@@ -155,7 +155,7 @@ def explode_details(spark: SparkSession, lake: Lake) -> None:
 
 
 def _write_batch(path: str, batch: DataFrame, number: int) -> None:
-    batch.write.mode("overwrite").parquet(f"{path}/batch-{number}")
+    batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
 
 def refresh_details(spark: SparkSession, lake: Lake, **options) -> None:

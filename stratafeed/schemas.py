@@ -6,43 +6,68 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+
+def _fields(dtype: T.DataType, *names: str, required: bool = False):
+    return [T.StructField(name, dtype, not required) for name in names]
+
+
+_INT, _TEXT, _FLAG = T.IntegerType(), T.StringType(), T.BooleanType()
+_FLOAT, _DOUBLE, _LONG = T.FloatType(), T.DoubleType(), T.LongType()
+
 # Column names, order, types and required fields of the feed.
-MATCH_SCHEMA = T.StructType.fromDDL("""
-    GameId INT NOT NULL, RoundId INT NOT NULL, Season INT NOT NULL,
-    SeasonType INT NOT NULL, `Group` STRING, TeamAId INT, TeamBId INT, VenueId INT,
-    Day STRING, DateTime STRING, Status STRING, Week INT, BestOf STRING,
-    Winner STRING, VenueType STRING, TeamAKey STRING, TeamAName STRING,
-    TeamAScore INT, TeamBKey STRING, TeamBName STRING, TeamBScore INT,
-    TeamAMoneyLine INT, TeamBMoneyLine INT, DrawMoneyLine INT,
-    PointSpread DECIMAL(10, 2), TeamAPointSpreadPayout INT,
-    TeamBPointSpreadPayout INT, Updated STRING, UpdatedUtc STRING, IsClosed BOOLEAN
-""")
+MATCH_SCHEMA = T.StructType(
+    [
+        *_fields(_INT, "GameId", "RoundId", "Season", "SeasonType", required=True),
+        *_fields(_TEXT, "Group"),
+        *_fields(_INT, "TeamAId", "TeamBId", "VenueId"),
+        *_fields(_TEXT, "Day", "DateTime", "Status"),
+        *_fields(_INT, "Week"),
+        *_fields(_TEXT, "BestOf", "Winner", "VenueType", "TeamAKey", "TeamAName"),
+        *_fields(_INT, "TeamAScore"),
+        *_fields(_TEXT, "TeamBKey", "TeamBName"),
+        *_fields(_INT, "TeamBScore"),
+        *_fields(_INT, "TeamAMoneyLine", "TeamBMoneyLine", "DrawMoneyLine"),
+        *_fields(T.DecimalType(10, 2), "PointSpread"),
+        *_fields(_INT, "TeamAPointSpreadPayout", "TeamBPointSpreadPayout"),
+        *_fields(_TEXT, "Updated", "UpdatedUtc"),
+        *_fields(_FLAG, "IsClosed"),
+    ]
+)
 
 # A player's entry in the leaderboard of one map.
-ENTRY_SCHEMA = T.StructType.fromDDL("""
-    PlayerId INT NOT NULL, TeamId INT NOT NULL, Name STRING NOT NULL,
-    MatchName STRING NOT NULL, Team STRING NOT NULL, IsClosed BOOLEAN NOT NULL,
-    GameId INT NOT NULL, OpponentId INT NOT NULL, Opponent STRING NOT NULL,
-    Day STRING, DateTime STRING, Updated STRING, UpdatedUtc STRING, Games STRING,
-    Maps FLOAT, FantasyPoints FLOAT, Kills FLOAT, Assists FLOAT, Deaths FLOAT,
-    Headshots FLOAT, AverageDamagePerRound FLOAT, Kast FLOAT, Rating FLOAT,
-    EntryKills FLOAT, QuadKills FLOAT, Aces FLOAT, Clutch1v2s FLOAT,
-    Clutch1v3s FLOAT, Clutch1v4s FLOAT, Clutch1v5s FLOAT
-""")
+ENTRY_SCHEMA = T.StructType(
+    [
+        *_fields(_INT, "PlayerId", "TeamId", required=True),
+        *_fields(_TEXT, "Name", "MatchName", "Team", required=True),
+        *_fields(_FLAG, "IsClosed", required=True),
+        *_fields(_INT, "GameId", "OpponentId", required=True),
+        *_fields(_TEXT, "Opponent", required=True),
+        *_fields(_TEXT, "Day", "DateTime", "Updated", "UpdatedUtc", "Games"),
+        *_fields(_FLOAT, "Maps", "FantasyPoints", "Kills", "Assists", "Deaths"),
+        *_fields(_FLOAT, "Headshots", "AverageDamagePerRound", "Kast", "Rating"),
+        *_fields(_FLOAT, "EntryKills", "QuadKills", "Aces"),
+        *_fields(_FLOAT, "Clutch1v2s", "Clutch1v3s", "Clutch1v4s", "Clutch1v5s"),
+    ]
+)
 
 LEADERBOARD_SCHEMA = T.StructType(
-    [*ENTRY_SCHEMA, T.StructField("MapName", T.StringType(), False)]
+    [*ENTRY_SCHEMA, *_fields(_TEXT, "MapName", required=True)]
 )
 
 # One map of a match, and the attributes it takes from the match.
-MAP_FIELDS = T.StructType.fromDDL("""
-    Number INT, Name STRING, Status STRING, CurrentRound INT, TeamAScore INT,
-    TeamBScore INT
-""")
-GAME_SCHEMA = T.StructType.fromDDL("""
-    GameId INT NOT NULL, TeamAName STRING, TeamBName STRING, TeamAKey STRING,
-    TeamBKey STRING
-""")
+MAP_FIELDS = T.StructType(
+    [
+        *_fields(_INT, "Number"),
+        *_fields(_TEXT, "Name", "Status"),
+        *_fields(_INT, "CurrentRound", "TeamAScore", "TeamBScore"),
+    ]
+)
+GAME_SCHEMA = T.StructType(
+    [
+        *_fields(_INT, "GameId", required=True),
+        *_fields(_TEXT, "TeamAName", "TeamBName", "TeamAKey", "TeamBKey"),
+    ]
+)
 
 MAP_SCHEMA = T.StructType([*MAP_FIELDS, *GAME_SCHEMA])
 
@@ -143,18 +168,23 @@ MAPS = TableSpec(
 # Output columns and keys of the silver tables.
 PLAYERS = TableSpec(
     name="fs_players",
-    schema=T.StructType.fromDDL("""
-        PlayerId INT, MatchName STRING, qtGames BIGINT, firstMatch TIMESTAMP_NTZ,
-        lastMatch TIMESTAMP_NTZ, avgPoints DOUBLE, avgKills DOUBLE,
-        avgAssists DOUBLE, avgDeaths DOUBLE, avgHeadshots DOUBLE,
-        avgAverageDamagePerRound DOUBLE, avgKast DOUBLE, avgRating DOUBLE
-    """),
+    schema=T.StructType(
+        [
+            *_fields(_INT, "PlayerId"),
+            *_fields(_TEXT, "MatchName"),
+            *_fields(_LONG, "qtGames"),
+            *_fields(T.TimestampNTZType(), "firstMatch", "lastMatch"),
+            *_fields(_DOUBLE, "avgPoints", "avgKills", "avgAssists", "avgDeaths"),
+            *_fields(_DOUBLE, "avgHeadshots", "avgAverageDamagePerRound"),
+            *_fields(_DOUBLE, "avgKast", "avgRating"),
+        ]
+    ),
     keys=("PlayerId", "MatchName"),
 )
 TEAMS = TableSpec(
     name="fs_teams",
-    schema=T.StructType.fromDDL(
-        "TeamName STRING, MapName STRING, matchCount BIGINT"
+    schema=T.StructType(
+        [*_fields(_TEXT, "TeamName", "MapName"), *_fields(_LONG, "matchCount")]
     ),
     keys=("TeamName", "MapName"),
 )

@@ -67,7 +67,7 @@ def run_incremental(
         )
         if seen.get["rejected"]:
             rejected_rows(batch, spec).write.mode("overwrite").parquet(
-                f"{path}/rejected/batch-{number}"
+                f"{path}/rejected/batch={number}"
             )
 
     # The batch that foreachBatch hands over is no longer part of the scan's plan,
