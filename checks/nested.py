@@ -16,7 +16,7 @@ from .registry import check, table
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two maps per line item, with two players on the first and one on the second."""
     lines = table(spark, sf_dir, "lineitem")
-    return lines.select(
+    return lines.withColumn("shipped", iso_text("l_shipdate", 19)).select(
         F.struct(
             F.col("l_orderkey").alias("GameId"),
             F.col("l_returnflag").alias("TeamAName"),
@@ -46,7 +46,7 @@ def _entry(player: str) -> Column:
         F.col(player).alias("PlayerId"),
         F.col("l_returnflag").alias("MatchName"),
         F.col("l_orderkey").alias("GameId"),
-        iso_text("l_shipdate", 19).alias("DateTime"),
+        F.col("shipped").alias("DateTime"),
         F.col("l_quantity").cast("float").alias("Kills"),
         F.col("l_extendedprice").alias("Rating"),
     )
@@ -72,11 +72,8 @@ MAPS = """
 
 @check(ENTRIES)
 def flatten_leaderboards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as JSON text, parsed with a declared schema, to player rows."""
-    docs = documents(spark, sf_dir)
-    text = docs.select(F.to_json(F.struct("Game", "Maps")).alias("text"))
-    parsed = text.select(F.from_json("text", docs.schema).alias("doc")).select("doc.*")
-    return nested.flatten_leaderboards(parsed)
+    """Documents to player rows with the name of their map."""
+    return nested.flatten_leaderboards(documents(spark, sf_dir))
 
 
 @check(MAPS)

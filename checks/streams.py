@@ -57,7 +57,7 @@ def stream_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check(latest_sql())
 def stream_upsert_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slices that arrive newest first, one run each: late rows do not win."""
-    return _replay(spark, sf_dir, "stream_upsert_late", "ts", compact_after=2)
+    return _replay(spark, sf_dir, "stream_upsert_late", "ts", compact_share=0)
 
 
 @check("""
@@ -71,7 +71,7 @@ def stream_upsert_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def stream_last_batch_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same slices without a version: the last batch wins."""
-    return _replay(spark, sf_dir, "stream_last_batch_wins", None, compact_after=16)
+    return _replay(spark, sf_dir, "stream_last_batch_wins", None, compact_share=float("inf"))
 
 
 def _replay(
@@ -79,12 +79,12 @@ def _replay(
     sf_dir: str,
     name: str,
     version: str | None,
-    compact_after: int,
+    compact_share: float,
 ) -> DataFrame:
     events = table(spark, sf_dir, "events")
     spec, path = _spec(events, version), new_folder(spark, name)
     for where in SLICES:
         files.append_parquet(events.where(where), f"{path}/raw")
         stream = files.stream_parquet(spark, f"{path}/raw", events.schema)
-        run_incremental(spark, stream, f"{path}/table", spec, compact_after)
+        run_incremental(spark, stream, f"{path}/table", spec, compact_share)
     return keyed.read_current(spark, f"{path}/table", spec)

@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The timestamp text accepted, without and with a fraction.
+# The text accepted for a timestamp, for a day, and for a timestamp
+# with a fraction.
 ISO_SECONDS = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}\z"
+ISO_DAY = r"^\d{4}-\d{2}-\d{2}\z"
 ISO_FRACTION = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?\z"
 
 
@@ -37,7 +39,7 @@ def normalise_iso(
 
 def strict_day(text: Column) -> Column:
     """The date of ``yyyy-MM-dd`` text, null unless written with two-digit parts."""
-    return F.try_to_date(text, "yyyy-MM-dd")
+    return F.when(text.rlike(ISO_DAY), text.try_cast(T.DateType()))
 
 
 def valid_date_text(text: Column) -> Column:

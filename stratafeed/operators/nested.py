@@ -21,17 +21,21 @@ def explode_children(
     paths. ``fields`` defaults to the fields of the element that are not arrays
     themselves. A parent whose array is empty or null gives no row.
     """
+    element = df.select(array).schema[0].dataType.elementType
+    if fields is None:
+        fields = [
+            f.name for f in element if not isinstance(f.dataType, T.ArrayType)
+        ]
+    children = F.col(array)
+    if set(fields) != set(element.names):
+        # Taking the wanted fields out before the explode, not after it, lets the
+        # scan leave the others (such as arrays further down) unread.
+        children = F.arrays_zip(*[children.getField(f).alias(f) for f in fields])
     child = "__child"
     exploded = df.select(
         *[F.col(path).alias(name) for name, path in parent.items()],
-        F.explode(array).alias(child),
+        F.explode(children).alias(child),
     )
-    if fields is None:
-        fields = [
-            f.name
-            for f in exploded.schema[child].dataType
-            if not isinstance(f.dataType, T.ArrayType)
-        ]
     return exploded.select(
         *[F.col(child).getField(f).alias(f) for f in fields], *parent
     )
@@ -51,5 +55,5 @@ def flatten_maps(payloads: DataFrame) -> DataFrame:
 
 def flatten_leaderboards(payloads: DataFrame) -> DataFrame:
     """Player rows of every map of every match, with the name of the map."""
-    maps = payloads.select(F.explode("Maps").alias("m"))
-    return explode_children(maps, "m.Leaderboards", {"MapName": "m.Name"})
+    maps = explode_children(payloads, "Maps", {}, ["Name", "Leaderboards"])
+    return explode_children(maps, "Leaderboards", {"MapName": "Name"})

@@ -10,12 +10,13 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.days import select_days, select_rows
 from ..operators.nested import flatten_leaderboards, flatten_maps
-from ..operators.backlog import pending
+from ..operators.backlog import only_pending, pending
 from ..operators.stats import entity_stats, side_counts
 from ..schemas import (
     LEADERBOARD_SCHEMA,
@@ -73,13 +74,16 @@ def load_matches(
     stored = files.read_if_present(spark, log, _DAY_LOG)
     selection = (stored, mode, "Day", today or dt.date.today(), d1, d2)
     days = select_days(landing, *selection).withColumnRenamed("day", "Day")
-    files.append_json(select_rows(landing, *selection), raw)
+    # Most scan tasks hold few of the chosen rows; rebalancing makes whole files.
+    files.append_json(select_rows(landing, *selection).hint("rebalance"), raw)
     files.append_parquet(days, log)
 
 
-def refresh_matches(spark: SparkSession, lake: Lake, **options) -> None:
+def refresh_matches(
+    spark: SparkSession, lake: Lake, max_files: int | None = None, **options
+) -> None:
     """Raw matches to the bronze match table."""
-    stream = files.stream_json(spark, lake.raw(MATCHES.name), MATCH_SCHEMA)
+    stream = files.stream_json(spark, lake.raw(MATCHES.name), MATCH_SCHEMA, max_files)
     run_incremental(spark, stream, lake.bronze(MATCHES), MATCHES, **options)
 
 
@@ -90,38 +94,52 @@ def details_to_fetch(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def land_details(
-    spark: SparkSession, lake: Lake, inbox: str, one_per_file: bool = True
+    spark: SparkSession,
+    lake: Lake,
+    inbox: str,
+    one_per_file: bool = True,
+    max_files: int | None = None,
 ) -> None:
     """Store delivered payloads of bronze matches, each once.
 
-    Each delivered file is parsed once. Payloads whose match is not in bronze yet
-    wait in a folder of their own and are looked at again in later runs.
+    Each delivered file is read by one run only. Payloads whose match is not in
+    bronze yet wait in a folder of their own and are looked at again in later runs.
     """
     matches = keyed.read_current(spark, lake.bronze(MATCHES), MATCHES)
-    known = matches.select("GameId")
+    known = matches.select(F.col("GameId").alias("known_id"))
     payloads, waiting = lake.raw("payloads"), lake.raw("payloads_waiting")
 
-    def landable(docs: DataFrame, own: str) -> DataFrame:
-        of_known = docs.join(known, docs["Game.GameId"] == known["GameId"], "left_semi")
+    def matched(docs: DataFrame) -> DataFrame:
+        once = files.each_once(docs, "Game.GameId", "GameId")
+        return once.join(known, F.col("GameId") == F.col("known_id"), "left")
+
+    def land(docs: DataFrame, own: str) -> None:
+        of_known = docs.where("known_id is not null")
         landed = _landed_ids(spark, lake, without=own)
-        return files.select_landable(of_known, landed, "Game.GameId", "GameId")
+        only_pending(of_known, landed, ["GameId"]).select(
+            *PAYLOAD_SCHEMA.names
+        ).write.mode("overwrite").parquet(f"{payloads}/{own}")
 
     def store(batch: DataFrame, number: int) -> None:
         own = f"batch={number}"
-        docs = batch.where("Game.GameId is not null")
-        landable(docs, own).write.mode("overwrite").parquet(f"{payloads}/{own}")
-        docs.join(
-            known, docs["Game.GameId"] == known["GameId"], "left_anti"
-        ).write.mode("overwrite").parquet(f"{waiting}/{own}")
-
-    early = list_folders(spark, waiting)
-    if early:
-        docs = files.read_parquet(
-            spark, [f"{waiting}/{name}" for name in early], PAYLOAD_SCHEMA
-        )
-        own = f"batch=late-{len(list_folders(spark, payloads))}"
-        landable(docs, own).write.mode("overwrite").parquet(f"{payloads}/{own}")
-    stream = files.stream_payloads(spark, inbox, PAYLOAD_SCHEMA, one_per_file)
+        docs = matched(batch)
+        # Early payloads are counted while the others are written; the batch is read
+        # a second time only if there are any.
+        seen = Observation()
+        early = F.count_if(F.col("known_id").isNull()).alias("early")
+        land(docs.observe(seen, early), own)
+        if seen.get["early"]:
+            docs.where("known_id is null").select(*PAYLOAD_SCHEMA.names).write.mode(
+                "overwrite"
+            ).parquet(f"{waiting}/{own}")
+
+    early_folders = [f"{waiting}/{name}" for name in list_folders(spark, waiting)]
+    if early_folders:
+        docs = files.read_parquet(spark, early_folders, PAYLOAD_SCHEMA)
+        land(matched(docs), f"batch=late-{len(list_folders(spark, payloads))}")
+    stream = files.stream_payloads(
+        spark, inbox, PAYLOAD_SCHEMA, one_per_file, max_files
+    )
     drain(stream, store, lake.raw("payloads_checkpoint"))
 
 
@@ -138,7 +156,9 @@ def _landed_ids(
     return files.ids_of(payloads, "Game.GameId", "GameId")
 
 
-def explode_details(spark: SparkSession, lake: Lake) -> None:
+def explode_details(
+    spark: SparkSession, lake: Lake, max_files: int | None = None
+) -> None:
     """Landed payloads to raw player and map rows.
 
     A checkpoint records which payload files are done, so a match without maps is
@@ -146,7 +166,9 @@ def explode_details(spark: SparkSession, lake: Lake) -> None:
     table reads only its own fields of the payload files.
     """
     for spec, flatten in ((LEADERBOARDS, flatten_leaderboards), (MAPS, flatten_maps)):
-        payloads = files.stream_parquet(spark, lake.raw("payloads"), PAYLOAD_SCHEMA)
+        payloads = files.stream_parquet(
+            spark, lake.raw("payloads"), PAYLOAD_SCHEMA, max_files
+        )
         drain(
             flatten(payloads),
             partial(_write_batch, lake.raw(spec.name)),
@@ -158,10 +180,12 @@ def _write_batch(path: str, batch: DataFrame, number: int) -> None:
     batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
 
-def refresh_details(spark: SparkSession, lake: Lake, **options) -> None:
+def refresh_details(
+    spark: SparkSession, lake: Lake, max_files: int | None = None, **options
+) -> None:
     """Raw player and map rows to their bronze tables, one stream each."""
     for spec, schema in ((LEADERBOARDS, LEADERBOARD_SCHEMA), (MAPS, MAP_SCHEMA)):
-        stream = files.stream_parquet(spark, lake.raw(spec.name), schema)
+        stream = files.stream_parquet(spark, lake.raw(spec.name), schema, max_files)
         run_incremental(spark, stream, lake.bronze(spec), spec, **options)
 
 

@@ -125,6 +125,18 @@ def write_documents(df: DataFrame, path: str) -> None:
     df.select(document.alias("value")).write.mode("append").text(path)
 
 
+def each_once(
+    payloads: DataFrame, path: str, key: str, order: Sequence[str] | None = None
+) -> DataFrame:
+    """Non-empty payloads, one per id, with the id of ``path`` as column ``key``.
+
+    A document without an id is empty; one with an id and no children is not. Among
+    copies of an id the highest by ``order`` is taken (all columns by default).
+    """
+    present = payloads.withColumn(key, F.col(path)).where(F.col(key).isNotNull())
+    return latest_version(present, [key], None, order)
+
+
 def select_landable(
     payloads: DataFrame,
     landed: DataFrame | None,
@@ -132,16 +144,12 @@ def select_landable(
     key: str,
     order: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Payloads to land: not empty, not landed before, each id once.
+    """Payloads to land: not empty, each id once, not among the ids of ``landed``.
 
-    ``path`` is where the document holds its id, ``key`` the id column of
-    ``landed``. A document without an id is empty; one with an id and no children
-    is not. Among copies of an id the highest by ``order`` is taken (all columns
-    by default).
+    Copies are dropped before the join, which then reuses their partitioning.
     """
-    present = payloads.withColumn(key, F.col(path)).where(F.col(key).isNotNull())
-    fresh = only_pending(present, landed, [key])
-    return latest_version(fresh, [key], None, order).select(*payloads.columns)
+    fresh = only_pending(each_once(payloads, path, key, order), landed, [key])
+    return fresh.select(*payloads.columns)
 
 
 def ids_of(payloads: DataFrame, path: str, key: str) -> DataFrame:
@@ -150,4 +158,7 @@ def ids_of(payloads: DataFrame, path: str, key: str) -> DataFrame:
 
 
 def _limited(reader, max_files: int | None):
-    return reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)
+    """Cap the files of one micro-batch; without a cap a run is a single batch."""
+    if max_files is None:
+        return reader
+    return reader.option("maxFilesPerTrigger", max_files)

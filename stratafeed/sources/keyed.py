@@ -8,7 +8,8 @@ written once by an ordinary write job and count only when that job committed.
 * A repeated batch overwrites its own folder, so a retry changes nothing.
 * The current state is an upsert of the increments into the base. Only keys of the
   increments are joined, so a base is read without a shuffle while the increments
-  are small; ``compact`` folds them in before they grow.
+  are small; ``compact_if_due`` folds them in once they reach a share of its size,
+  so the bytes rewritten stay in proportion to the bytes that arrived.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 from ..operators.dedup import latest_version
 from ..operators.merge import require_unambiguous, upsert
 from ..schemas import TableSpec
-from .storage import exists, is_complete, list_folders
+from .storage import exists, is_complete, list_folders, size_of
 
 _BASE = "base"
 _INCREMENT = "increment"
@@ -64,6 +65,22 @@ def compact(spark: SparkSession, path: str, spec: TableSpec) -> str | None:
     return _folder(path, _BASE, base[-1]) if base else None
 
 
+def compact_if_due(
+    spark: SparkSession, path: str, spec: TableSpec, share: float
+) -> None:
+    """Compact once the open increments hold ``share`` of the bytes of the base.
+
+    A single increment without a base is left alone: its keys are unique already.
+    """
+    base, increments = _numbers(spark, path, _BASE), _open_increments(spark, path)
+    if not increments or (not base and len(increments) == 1):
+        return
+    stored = size_of(spark, _folder(path, _BASE, base[-1])) if base else 0
+    arrived = sum(size_of(spark, _folder(path, _INCREMENT, n)) for n in increments)
+    if arrived >= share * stored:
+        compact(spark, path, spec)
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -74,16 +91,19 @@ def upsert_table(
     """Merge a whole recomputed source into the table; the folder of the new base.
 
     For sources about as large as the table, such as its own recomputation: the
-    merged rows become the next base at once. ``check`` refuses a source that
-    would update one row twice.
+    merged rows become the next base at once. The source is computed once, into a
+    folder of its own, and checked and merged from there. ``check`` refuses a
+    source that would update one row twice.
     """
+    number = _next_number(spark, path)
+    staged = _folder(path, "staged", number)
+    source.select(*spec.schema.names).write.mode("overwrite").parquet(staged)
+    source = spark.read.schema(spec.stored_schema).parquet(staged)
     target = read_current(spark, path, spec)
     if check:
         require_unambiguous(target, source, spec.keys, null_safe=True)
-    number = _next_number(spark, path)
-    _write_base(
-        upsert(target, source, spec.keys, spec.version, null_safe=True), path, number
-    )
+    merged = upsert(target, source, spec.keys, spec.version, null_safe=True)
+    _write_base(merged, path, number)
     return _folder(path, _BASE, number)
 
 
@@ -102,14 +122,11 @@ def _winners(
     spark: SparkSession, path: str, spec: TableSpec, increments: list[int]
 ) -> DataFrame:
     """The row of each key that the increments leave; the later one on a tie."""
-    schema = T.StructType(
-        [*spec.stored_schema, T.StructField(_INCREMENT, T.LongType())]
-    )
-    rows = (
-        spark.read.schema(schema)
-        .option("basePath", path)
-        .parquet(*[_folder(path, _INCREMENT, n) for n in increments])
-    )
+    folders = [_folder(path, _INCREMENT, n) for n in increments]
+    if len(folders) == 1:
+        return spark.read.schema(spec.stored_schema).parquet(*folders)
+    numbered = spec.stored_schema.add(_INCREMENT, T.LongType())
+    rows = spark.read.schema(numbered).option("basePath", path).parquet(*folders)
     return latest_version(rows, spec.keys, spec.version, [_INCREMENT]).drop(_INCREMENT)
 
 

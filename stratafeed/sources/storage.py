@@ -45,6 +45,12 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    fs, p = _open(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def _open(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p

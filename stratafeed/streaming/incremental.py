@@ -41,14 +41,15 @@ def run_incremental(
     stream: DataFrame,
     path: str,
     spec: TableSpec,
-    compact_after: int = 16,
+    compact_share: float = 0.2,
     timeout: int | None = None,
 ) -> None:
     """Bring the table at ``path`` up to date with a file stream, then stop.
 
     The first run is the full load; a later one sees only new files. The
     checkpoint lies inside the table folder, because batch numbers name its
-    increments. Rows without a required field are kept under ``rejected``.
+    increments. Rows without a required field are kept under ``rejected``. The
+    increments are folded into the base when they reach ``compact_share`` of it.
     """
     checkpoint = f"{path}/_checkpoint"
     if keyed.is_stored(spark, path) and not exists(spark, f"{checkpoint}/offsets"):
@@ -69,13 +70,12 @@ def run_incremental(
             rejected_rows(batch, spec).write.mode("overwrite").parquet(
                 f"{path}/rejected/batch={number}"
             )
+        keyed.compact_if_due(spark, path, spec, compact_share)
 
     # The batch that foreachBatch hands over is no longer part of the scan's plan,
     # so the gate and the projection are applied to the stream, where they reach it.
     narrowed = conform(through_gate(stream, spec), spec.schema)
     drain(narrowed, store, checkpoint, timeout)
-    if keyed.open_increments(spark, path) >= compact_after:
-        keyed.compact(spark, path, spec)
 
 
 def drain(

@@ -185,7 +185,7 @@ def test_new_version_of_a_match_and_a_late_one(spark, feed):
 
     def arrive(*matches):
         files.append_json(spark.createDataFrame(matches, MATCH_SCHEMA), raw)
-        layers.refresh_matches(spark, feed.lake, compact_after=2)
+        layers.refresh_matches(spark, feed.lake, compact_share=0)
         return {r.GameId: r.TeamAScore for r in feed.bronze(MATCHES).collect()}
 
     def version(score, updated, game=1):
@@ -255,3 +255,61 @@ def test_a_lost_checkpoint_is_noticed(spark, feed):
     stream = files.stream_json(spark, feed.lake.raw(MATCHES.name), MATCH_SCHEMA)
     with pytest.raises(ValueError, match="checkpoint"):
         run_incremental(spark, stream, table, MATCHES)
+
+
+def test_many_small_batches_compact_on_the_way(spark, feed):
+    """One file per micro-batch; the base is renewed within the run."""
+    raw = feed.lake.raw(MATCHES.name)
+    blank = dict.fromkeys(MATCH_SCHEMA.names)
+    for hour in (14, 12, 16, 10):
+        rows = [
+            blank | match(g, "2023-01-10", f"2023-01-10T{hour}:00:00", TeamAScore=hour)
+            for g in (1, 2, hour)
+        ]
+        df = spark.createDataFrame(rows, MATCH_SCHEMA).coalesce(1)
+        files.append_json(df, raw)
+    layers.refresh_matches(spark, feed.lake, max_files=1, compact_share=0)
+    table = feed.lake.bronze(MATCHES)
+    assert keyed.open_increments(spark, table) == 0
+    assert len([n for n in os.listdir(table) if n.startswith("base=")]) == 3
+    assert {r.GameId: r.TeamAScore for r in feed.bronze(MATCHES).collect()} == {
+        1: 16,
+        2: 16,
+        **{h: h for h in (10, 12, 14, 16)},
+    }
+
+
+@pytest.mark.parametrize("compact_share", [0, float("inf")])
+def test_a_batch_that_is_repeated_after_a_failure(spark, feed, compact_share):
+    """The last commit is taken back, so that its batch runs a second time."""
+    raw, table = feed.lake.raw(MATCHES.name), feed.lake.bronze(MATCHES)
+    blank = dict.fromkeys(MATCH_SCHEMA.names)
+    for number, hour in enumerate((12, 13)):
+        row = blank | match(1, "2023-01-10", f"2023-01-10T{hour}:00:00", TeamAScore=hour)
+        files.append_json(spark.createDataFrame([row], MATCH_SCHEMA), raw)
+        layers.refresh_matches(spark, feed.lake, compact_share=compact_share)
+        before = state(feed, MATCHES)
+        commits = f"{table}/_checkpoint/commits"
+        os.rename(f"{commits}/{number}", f"{feed.lake.root}/undone-{number}")
+        if os.path.exists(f"{commits}/.{number}.crc"):
+            os.rename(f"{commits}/.{number}.crc", f"{feed.lake.root}/crc-{number}")
+        layers.refresh_matches(spark, feed.lake, compact_share=compact_share)
+        assert os.path.exists(f"{commits}/{number}")
+        assert state(feed, MATCHES) == before
+    assert feed.bronze(MATCHES).first().TeamAScore == 13
+
+
+def test_repeated_landing_keeps_the_payloads(spark, feed):
+    raw = feed.lake.raw(MATCHES.name)
+    blank = dict.fromkeys(MATCH_SCHEMA.names)
+    row = blank | match(1, "2023-01-10", "2023-01-10T12:00:00")
+    files.append_json(spark.createDataFrame([row], MATCH_SCHEMA), raw)
+    layers.refresh_matches(spark, feed.lake)
+    feed.deliver("1", payload(1, one_map(1, "dust", entry(1, "ann", 1, 5))))
+    feed.deliver("1-again", payload(1, one_map(1, "dust", entry(1, "ann", 1, 5))))
+    layers.land_details(spark, feed.lake, feed.inbox)
+    commits = feed.lake.raw("payloads_checkpoint") + "/commits"
+    os.rename(f"{commits}/0", f"{feed.lake.root}/undone")
+    os.rename(f"{commits}/.0.crc", f"{feed.lake.root}/crc")
+    layers.land_details(spark, feed.lake, feed.inbox)
+    assert spark.read.parquet(feed.lake.raw("payloads")).count() == 1

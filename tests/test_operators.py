@@ -352,6 +352,20 @@ def test_flatten(spark):
     assert [(r.PlayerId, r.MapName) for r in entries.collect()] == [(1, "m1"), (2, "m1")]
 
 
+def test_flattening_reads_only_its_own_fields(spark, folder):
+    spark.createDataFrame([], PAYLOAD_SCHEMA).write.parquet(f"{folder}/p")
+    payloads = spark.read.schema(PAYLOAD_SCHEMA).parquet(f"{folder}/p")
+    assert "Leaderboards" not in read_schema(flatten_maps(payloads))
+    entries = read_schema(flatten_leaderboards(payloads))
+    assert "Leaderboards" in entries
+    assert "Game:" not in entries and "CurrentRound" not in entries
+
+
+def read_schema(df) -> str:
+    scans = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return scans.head().requiredSchema().catalogString()
+
+
 def player(number):
     fields = {
         "PlayerId": number,
