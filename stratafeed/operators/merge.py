@@ -31,12 +31,16 @@ def upsert(
       versions the source row wins, and a null version is older than any other.
     * ``null_safe``: null keys match each other; otherwise they never match.
 
-    Only keys of ``source`` are joined to ``target``. While they fit under the
-    broadcast threshold of the session, ``target`` is not shuffled at all.
+    Only keys (and versions) of ``source`` are joined to ``target``. While they fit
+    under the broadcast threshold of the session, ``target`` is not shuffled at all.
+    A source beyond that threshold, if there is a version to compare, is merged in
+    one full join instead, which shuffles each side once.
     """
     keys = list(keys)
     source = source.select(*target.columns)
     if version is not None:
+        if not _fits_broadcast(source):
+            return _full_merge(target, source, keys, version, null_safe)
         source = _not_stale(target, source, keys, version, null_safe)
     kept = _without_keys(target, source.select(*keys), keys, null_safe)
     return kept.unionByName(source)
@@ -96,6 +100,48 @@ def merge_into_table(
     merge.whenNotMatched().insertAll().merge()
 
 
+def _fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's size estimate is within the session's broadcast threshold."""
+    session = df.sparkSession._jsparkSession.sessionState()
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return estimate <= session.conf().autoBroadcastJoinThreshold()
+
+
+def _full_merge(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    version: str,
+    null_safe: bool,
+) -> DataFrame:
+    apart = []
+    if not null_safe:
+        # Null keys match nothing; they go round the join.
+        apart = [df.where(~_all_present(keys)) for df in (target, source)]
+        target, source = (df.where(_all_present(keys)) for df in (target, source))
+    here = "__here"
+    joined = (
+        target.withColumn(here, F.lit(True))
+        .alias("stored")
+        .join(
+            source.withColumn(here, F.lit(True)).alias("incoming"),
+            _same_key(keys, null_safe),
+            "full",
+        )
+    )
+    take = _ref("stored", here).isNull() | (
+        _ref("incoming", here).isNotNull()
+        & ~_is_newer(_ref("stored", version), _ref("incoming", version))
+    )
+    merged = joined.select(
+        *[
+            F.when(take, _ref("incoming", c)).otherwise(_ref("stored", c)).alias(c)
+            for c in target.columns
+        ]
+    )
+    return reduce(DataFrame.unionByName, apart, merged)
+
+
 def _not_stale(
     target: DataFrame,
     source: DataFrame,

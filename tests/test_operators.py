@@ -134,6 +134,23 @@ def test_upsert_keeps_target_columns(spark, stored):
     assert (1, 7, "x") in rows(merged)
 
 
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_upsert_null_keys_with_a_version(spark, threshold):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, threshold)
+    try:
+        schema = "k string, l string, v int"
+        one = spark.createDataFrame([(None, "a", 5), ("x", None, 5), ("y", "b", 5)], schema)
+        two = spark.createDataFrame([(None, "a", 4), ("x", None, 6), ("y", "b", 4)], schema)
+        apart = rows(upsert(one, two, ["k", "l"], version="v"))
+        assert apart == rows(one.unionAll(two.where("k is null or l is null")))
+        together = rows(upsert(one, two, ["k", "l"], version="v", null_safe=True))
+        assert together == sorted([(None, "a", 5), ("x", None, 6), ("y", "b", 5)], key=repr)
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_upsert_null_keys(spark):
     one = spark.createDataFrame([(None, "a", 1), ("x", None, 2)], "k string, l string, n int")
     two = spark.createDataFrame([(None, "a", 3), ("x", None, 4)], "k string, l string, n int")
