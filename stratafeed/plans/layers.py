@@ -143,6 +143,15 @@ def land_details(
     drain(stream, store, lake.raw("payloads_checkpoint"))
 
 
+def landed_manifest(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Every landed match with the file that holds its payload."""
+    path = lake.raw("payloads")
+    folders = [f"{path}/{name}" for name in list_folders(spark, path)]
+    return files.read_parquet(spark, folders, PAYLOAD_SCHEMA).select(
+        F.col("Game.GameId").alias("gameId"), F.col("_metadata.file_path").alias("path")
+    )
+
+
 def _landed_ids(
     spark: SparkSession, lake: Lake, without: str | None = None
 ) -> DataFrame | None:

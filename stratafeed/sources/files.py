@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 from ..operators.dedup import latest_version
 from ..operators.backlog import only_pending
 
+# By default a file stream skips files more than a week older than the newest one it
+# has seen, such as a late copy that kept its modification time.
+ANY_AGE = "36500d"
+
 # Fixed value: text form of zone-free timestamps in JSON, microseconds kept.
 JSON_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -159,6 +163,7 @@ def ids_of(payloads: DataFrame, path: str, key: str) -> DataFrame:
 
 def _limited(reader, max_files: int | None):
     """Cap the files of one micro-batch; without a cap a run is a single batch."""
+    reader = reader.option("maxFileAge", ANY_AGE)
     if max_files is None:
         return reader
     return reader.option("maxFilesPerTrigger", max_files)

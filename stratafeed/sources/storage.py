@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -17,9 +18,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="stratafeed-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="stratafeed-")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

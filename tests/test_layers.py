@@ -8,10 +8,19 @@ import os
 
 import pytest
 
-from stratafeed.plans import layers
+from stratafeed.plans import layers, refresh_sql_table, run_sql_table
 from stratafeed.plans.layers import Lake
-from stratafeed.schemas import LEADERBOARDS, MAPS, MATCH_SCHEMA, MATCHES, PLAYERS, TEAMS
+from stratafeed.schemas import (
+    LEADERBOARDS,
+    MAPS,
+    MATCH_SCHEMA,
+    MATCHES,
+    PLAYERS,
+    TEAMS,
+    TableSpec,
+)
 from stratafeed.sources import files, keyed
+from stratafeed.sources.catalog import load_query
 from stratafeed.streaming import run_incremental
 
 TODAY = dt.date(2023, 1, 10)
@@ -145,6 +154,9 @@ def test_whole_feed(spark, feed):
     assert spark.read.parquet(feed.lake.raw("payloads")).count() == raw == 2
     assert (players(feed), teams(feed)) == silver
     assert layers.details_to_fetch(spark, feed.lake).count() == 0
+    manifest = layers.landed_manifest(spark, feed.lake).collect()
+    assert sorted(r.gameId for r in manifest) == [9, 10]
+    assert all("/raw/payloads/batch=" in r.path for r in manifest)
 
     # Tables by name, for SQL, and a player under a second name.
     layers.publish_bronze(spark, feed.lake, "feed_bronze")
@@ -153,6 +165,17 @@ def test_whole_feed(spark, feed):
         "JOIN feed_bronze.tb_maps AS m ON l.GameId = m.GameId AND l.MapName = m.Name"
     )
     assert counted.first().n == 4
+    with open(f"{feed.lake.root}/per_map.sql", "w") as file:
+        file.write(
+            "SELECT MapName, count(DISTINCT PlayerId) AS players\n"
+            "FROM feed_bronze.tb_leaderboards GROUP BY MapName;\n"
+        )
+    per_map = run_sql_table(spark, load_query(f"{feed.lake.root}/per_map.sql"))
+    spec = TableSpec("per_map", per_map.schema, ("MapName",))
+    for _ in range(2):
+        refresh_sql_table(spark, "feed_silver", feed.lake.silver(spec), spec, per_map)
+    stored = spark.table("feed_silver.per_map").collect()
+    assert {r.MapName: r.players for r in stored} == {"dust": 2, "nuke": 1}
     feed.land(match(11, "2023-01-11", "2023-01-11T20:00:00"))
     feed.deliver("11", payload(11, one_map(1, "dust", entry(1, "anna", 11, 5))))
     for _ in range(2):
@@ -313,3 +336,17 @@ def test_repeated_landing_keeps_the_payloads(spark, feed):
     os.rename(f"{commits}/.0.crc", f"{feed.lake.root}/crc")
     layers.land_details(spark, feed.lake, feed.inbox)
     assert spark.read.parquet(feed.lake.raw("payloads")).count() == 1
+
+
+def test_an_old_file_that_arrives_late_is_read(spark, feed):
+    """A copied file may keep a modification time from long ago."""
+    raw = feed.lake.raw(MATCHES.name)
+    os.makedirs(raw)
+    for game, age in ((1, 0), (2, 400 * 86400)):
+        path = f"{raw}/{game}.json"
+        with open(path, "w") as file:
+            file.write(json.dumps(match(game, "2023-01-10", "2023-01-10T12:00:00")))
+        then = os.stat(path).st_mtime - age
+        os.utime(path, (then, then))
+        layers.refresh_matches(spark, feed.lake)
+    assert {r.GameId for r in feed.bronze(MATCHES).collect()} == {1, 2}

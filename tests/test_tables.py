@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,6 +161,18 @@ def test_shared_folder_comes_from_the_session(spark, folder):
     assert list_folders(spark, f"{folder}/none") == []
 
 
+def test_shared_folder_when_none_is_named():
+    def session(master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: default),
+            sparkContext=SimpleNamespace(master=master),
+        )
+
+    assert shared_folder(session("local[2]")) == shared_folder(session("local[*]"))
+    with pytest.raises(ValueError, match=CHECKPOINT_DIR):
+        shared_folder(session("spark://somewhere:7077"))
+
+
 def test_catalog(spark, folder):
     catalog.ensure_database(spark, "cat_db")
     catalog.ensure_database(spark, "cat_db")
