@@ -139,7 +139,8 @@ def compare(name: str, cpus: str, plain, ours) -> None:
         build().write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start
 
-    report(name, cpus, [run(plain) for _ in range(RUNS + 1)], [run(ours) for _ in range(RUNS + 1)])
+    times = [[run(shape) for _ in range(RUNS + 1)] for shape in (plain, ours)]
+    report(name, cpus, *times)
 
 
 def compare_writes(spark: SparkSession, cpus: str, lines: DataFrame) -> None:
