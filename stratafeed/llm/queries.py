@@ -8,7 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, overlap, shards
+from . import byte_gru, mixing, overlap, passages, rules, shards
+from ._sample import key_crc
 from ._text import n_words
 
 SHARDS = 8
@@ -147,3 +148,52 @@ def op10_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return overlap.join(docs, "doc_id", "text").documents
+
+
+@query()
+def op4_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learned = rules.learn(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality")
+    judged = rules.judge(rules.with_counts(docs, "doc_id", "text"), learned)
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "rejected_by",
+    )
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> passages.Model:
+    shown = labels.where(key_crc(F.col("doc_id")) % 5 != 0)
+    return passages.fit(docs, shown, "doc_id", "text", "quality")
+
+
+LEAST_QUALITY = 0.3
+
+
+@query()
+def op5_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model(docs, table(spark, sf_dir, "labels"))
+    return passages.score(docs, "doc_id", "text", model).select(
+        "doc_id",
+        (key_crc(F.col("doc_id")) % 5 == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= LEAST_QUALITY).cast("int").alias("predicted"),
+        "n_passages",
+    )
+
+
+@query()
+def op8_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = key_crc(F.col("doc_id")) % 3 == 1
+    model = byte_gru.fit(docs.where(~held_out), "doc_id", "text", "lang")
+    return byte_gru.predict(docs, "doc_id", "text", model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_positions"
+    )
