@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_gru, mixing, overlap, passages, rules, shards
+from . import byte_gru, edits, mixing, overlap, passages, rules, shards
 from ._sample import key_crc
 from ._text import n_words
 
@@ -197,3 +197,8 @@ def op8_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_gru.predict(docs, "doc_id", "text", model).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_positions"
     )
+
+
+@query()
+def op6_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edits.edited(table(spark, sf_dir, "documents"), "doc_id", "text")
