@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_gru, edits, mixing, overlap, passages, rules, shards
+from . import byte_gru, edits, mixing, overlap, passages, pieces, rules, shards
 from ._sample import key_crc
 from ._text import n_words
 
@@ -202,3 +202,21 @@ def op8_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edits.edited(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query()
+def op2_pieces(spark: SparkSession, sf_dir: str, model: str = PIECE_MODEL) -> DataFrame:
+    """Per document: its pieces, a digest of their ids, and whether they decode to it."""
+    vocabulary = pieces.load(model)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = pieces.decode(pieces.encode(docs, "text", vocabulary), "ids", vocabulary)
+    text = F.translate(F.coalesce(F.col("text"), F.lit("")), "▁", " ")
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.crc32(F.array_join("ids", " ").cast("binary")).alias("ids_crc32"),
+        (F.col("decoded") == text).alias("decodes"),
+    )
