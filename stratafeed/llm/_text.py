@@ -11,8 +11,9 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Text held by numpy at a time; a longer text is held alone.
 SLICE_BYTES = 2 << 20
@@ -130,5 +131,25 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out)
 
 
-def strings(values: list[bytes]) -> pa.Array:
-    return pa.array(values, pa.binary()).cast(pa.string())
+def extended(df: DataFrame, text: str, column: str, kind, task, keep=None) -> DataFrame:
+    """``df``, or its columns ``keep``, with one more column that a task makes.
+
+    ``task()`` gives a function of (bytes, offsets) that returns one Arrow value per
+    text. Nothing is shuffled; a column named like the new one is replaced.
+    """
+    keep = [c for c in (df.columns if keep is None else keep) if c != column]
+    read = "__text"
+    rows = df.select(*[df[c] for c in keep], df[text].alias(read))
+    own = df.select(*keep).schema
+    schema = T.StructType([*own.fields, T.StructField(column, kind)])
+
+    def run(batches):
+        make = task()
+        for batch in batches:
+            for part, data, offsets in slices(batch, read):
+                columns = [part.column(i) for i in range(len(keep))]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, make(data, offsets)], [*keep, column]
+                )
+
+    return rows.mapInArrow(run, schema)

@@ -8,6 +8,8 @@ in this order.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -86,6 +88,7 @@ def mix(
     most_epochs: int = 3,
     seed: int = 9,
     parts: int = 256,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """``df`` with ``source_size``, ``target`` and ``copies`` per row.
 
@@ -95,7 +98,7 @@ def mix(
     than the complete epochs; if a source has only such rows, its target is 0 and no
     copy is taken. Null sizes and negative ones count 0, null or non-positive weights
     count as the least positive weight; a null source is a source of its own. Equal
-    keys share a random draw and are ordered by size.
+    keys share a random draw and are ordered by size and ``ties``.
 
     A source's rows are spread over ranges of their draw, ``parts`` for each doubling of
     it: exponential draws of any weight cover several doublings. Range sums are added up
@@ -132,7 +135,7 @@ def mix(
         .drop("__words")
         .join(aims, s)
     )
-    inside = Window.partitionBy(s, part).orderBy(draw, F.col(key), F.col("__size")).rowsBetween(
+    inside = Window.partitionBy(s, part).orderBy(draw, key, "__size", *ties).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     epochs = F.when(

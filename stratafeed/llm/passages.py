@@ -7,12 +7,14 @@ weighted sum is scored. Only labels of whole documents are needed to learn all o
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import _text
 from ._sample import labelled_texts
@@ -51,40 +53,36 @@ def fit(
     the model scores every text by the labels it has seen, 0.5 without any.
     """
     sample = labelled_texts(docs, labels, key, text, label, per_label)
-    rows = sample.select(
+    named = sample.select(
         F.col("key").cast("string").alias("key"), F.col("label").cast("int").alias("label"), "text"
-    ).mapInArrow(_feature_task, "key string, label int, passages binary").collect()
+    )
+    rows = _text.extended(
+        named, "text", "passages", T.BinaryType(), _feature_task, ["key", "label"]
+    ).collect()
     rows.sort(key=lambda r: (r.key, r.label, bytes(r.passages)))
     bags = [np.frombuffer(bytes(r.passages), np.float32).reshape(-1, WIDTH) for r in rows]
     truth = np.array([r.label for r in rows], np.float64)
     return _train(bags, truth, steps, hidden, gates, seed)
 
 
-def score(df: DataFrame, key: str, text: str, model: Model) -> DataFrame:
-    """``key``, ``score`` (0 to 1) and ``n_passages`` of every row.
+def with_score(
+    df: DataFrame,
+    text: str,
+    model: Model,
+    score: str = "score",
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
+    """``df``, or its columns ``keep``, with the score (0 to 1) of each text.
 
     Whole texts are read. Null, empty and blank texts are one empty passage and get
-    its score; equal texts get equal scores. Other columns are not read.
+    its score; equal texts get equal scores. Nothing is shuffled; a column named like
+    ``score`` is replaced.
     """
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    kind = rows.schema["key"].dataType.simpleString()
-
-    def run(batches):
-        for batch in batches:
-            for part, data, offsets in _text.slices(batch, "text"):
-                x, first = features(data, offsets)
-                scores = _forward(model, x, first)[0]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(part.schema.get_field_index("key")),
-                        pa.array(scores),
-                        pa.array(np.diff(np.append(first, len(x))).astype(np.int64)),
-                    ],
-                    ["key", "score", "n_passages"],
-                )
-
-    out = rows.mapInArrow(run, f"key {kind}, score double, n_passages long")
-    return out.withColumnRenamed("key", key)
+
+    def task():
+        return lambda data, offsets: pa.array(_forward(model, *features(data, offsets))[0])
+
+    return _text.extended(df, text, score, T.DoubleType(), task, keep)
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,19 +131,13 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out, first
 
 
-def _feature_task(batches):
-    for batch in batches:
-        for part, data, offsets in _text.slices(batch, "text"):
-            x, first = features(data, offsets)
-            bags = np.split(x.astype(np.float32), first[1:])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(part.schema.get_field_index("key")),
-                    part.column(part.schema.get_field_index("label")),
-                    pa.array([b.tobytes() for b in bags], pa.binary()),
-                ],
-                ["key", "label", "passages"],
-            )
+def _feature_task():
+    def make(data, offsets):
+        x, first = features(data, offsets)
+        bags = np.split(x.astype(np.float32), first[1:])
+        return pa.array([b.tobytes() for b in bags], pa.binary())
+
+    return make
 
 
 def _sigmoid(x):

@@ -8,7 +8,18 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_gru, edits, mixing, overlap, passages, pieces, rules, shards
+from . import (
+    byte_gru,
+    chat,
+    edits,
+    licences,
+    mixing,
+    overlap,
+    passages,
+    pieces,
+    rules,
+    shards,
+)
 from ._sample import key_crc
 from ._text import n_words
 
@@ -154,17 +165,14 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     learned = rules.learn(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality")
-    judged = rules.judge(rules.with_counts(docs, "doc_id", "text"), learned)
-    return judged.select(
+    counted = rules.with_counts(docs, "text", keep=["doc_id"])
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return counted.select(
         "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        "base_failed",
-        "kept",
-        "rejected_by",
+        *[F.col(f"counts.{c}") for c in counts],
+        rules.base_failed().alias("base_failed"),
+        rules.kept(learned).alias("kept"),
+        learned.rejected_by().alias("rejected_by"),
     )
 
 
@@ -180,12 +188,11 @@ LEAST_QUALITY = 0.3
 def op5_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_model(docs, table(spark, sf_dir, "labels"))
-    return passages.score(docs, "doc_id", "text", model).select(
+    return passages.with_score(docs, "text", model, keep=["doc_id"]).select(
         "doc_id",
         (key_crc(F.col("doc_id")) % 5 == 0).alias("held_out"),
         "score",
         (F.col("score") >= LEAST_QUALITY).cast("int").alias("predicted"),
-        "n_passages",
     )
 
 
@@ -220,3 +227,14 @@ def op2_pieces(spark: SparkSession, sf_dir: str, model: str = PIECE_MODEL) -> Da
         F.crc32(F.array_join("ids", " ").cast("binary")).alias("ids_crc32"),
         (F.col("decoded") == text).alias("decodes"),
     )
+
+
+@query(licences.scan_sql())
+def op7_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query()
+def op1_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return chat.link_quotes(turns, "conv_id", "turn", "role", "text")

@@ -8,12 +8,14 @@ rule is sought. The result is an ordered chain of Spark conditions.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import _text
 from ._sample import labelled_texts
@@ -57,28 +59,30 @@ class DecisionList(NamedTuple):
 
     rules: tuple[tuple[Condition, ...], ...]
 
-    def rejected_by(self) -> Column:
+    def rejected_by(self, counts: str = "counts") -> Column:
         """Number of the first rule that rejects a row, null if none does."""
         chain = F.lit(None).cast("int")
         for i, rule in reversed(list(enumerate(self.rules))):
             met = F.lit(True)
             for ratio, above, threshold in rule:
-                value = _ratio(ratio)
+                value = _ratio(ratio, counts)
                 met &= (value > threshold) if above else (value <= threshold)
             chain = F.when(met, F.lit(i)).otherwise(chain)
         return chain
 
 
-def _ratio(name: str) -> Column:
-    part, whole = (F.col(c).cast("double") for c in RATIOS[name])
+def _ratio(name: str, counts: str) -> Column:
+    part, whole = (F.col(f"{counts}.{c}").cast("double") for c in RATIOS[name])
     return F.when(whole > 0, part / whole).otherwise(0.0)
 
 
-def with_counts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``key`` and the counts of each text.
+def with_counts(
+    df: DataFrame, text: str, counts: str = "counts", keep: Sequence[str] | None = None
+) -> DataFrame:
+    """``df``, or its columns ``keep``, with a struct of the counts of each text.
 
     Null and empty texts have zeros; a row is counted by itself, so repeated rows have
-    equal counts. Other columns are not read and do not clash.
+    equal counts. Nothing is shuffled; a column named like ``counts`` is replaced.
 
     * ``n_words``, ``word_chars``: words and the code points in them
     * ``n_symbols``: characters of ``#*$%&|<>``
@@ -87,26 +91,19 @@ def with_counts(df: DataFrame, key: str, text: str) -> DataFrame:
     * ``n_distinct_words``; ``n_upper``: A-Z; ``n_marks``: ``!`` and ``?``;
       ``n_echoes``: words equal to the word before
     """
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    kind = rows.schema["key"].dataType.simpleString()
-    schema = f"key {kind}, " + ", ".join(f"{c} long" for c in COUNTS)
-    return rows.mapInArrow(_count_task, schema).withColumnRenamed("key", key)
+    kind = T.StructType([T.StructField(c, T.LongType()) for c in COUNTS])
+    return _text.extended(df, text, counts, kind, _count_task, keep)
 
 
-def base_failed() -> Column:
+def base_failed(counts: str = "counts") -> Column:
     """The fixed rules: too short, or mostly repetition."""
-    return (F.col("n_words") < LEAST_WORDS) | (
-        100 * F.col("n_repeat_words") > MOST_REPEAT_PERCENT * F.col("n_words")
-    )
+    n, repeated = F.col(f"{counts}.n_words"), F.col(f"{counts}.n_repeat_words")
+    return (n < LEAST_WORDS) | (100 * repeated > MOST_REPEAT_PERCENT * n)
 
 
-def judge(counted: DataFrame, rules: DecisionList) -> DataFrame:
-    """Counted rows with ``base_failed``, ``rejected_by`` and ``kept``."""
-    return (
-        counted.withColumn("base_failed", base_failed())
-        .withColumn("rejected_by", rules.rejected_by())
-        .withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull())
-    )
+def kept(rules: DecisionList, counts: str = "counts") -> Column:
+    """Whether neither the fixed rules nor the list reject a row."""
+    return ~base_failed(counts) & rules.rejected_by(counts).isNull()
 
 
 def learn(
@@ -125,13 +122,10 @@ def learn(
     list is empty and rejects nothing.
     """
     sample = labelled_texts(docs, labels, key, text, label, per_label)
-    counted = with_counts(
-        sample.select(F.struct("key", "label").alias("row"), "text"), "row", "text"
-    )
-    drawn = counted.select(
-        F.col("row.key").cast("string").alias("key"),
-        F.col("row.label").alias("label"),
-        *[_ratio(r).alias(r) for r in RATIOS],
+    drawn = with_counts(sample, "text", keep=["key", "label"]).select(
+        F.col("key").cast("string").alias("key"),
+        "label",
+        *[_ratio(r, "counts").alias(r) for r in RATIOS],
     ).toPandas()
     drawn = drawn.sort_values(["key", *RATIOS], ignore_index=True)
     x = drawn[list(RATIOS)].to_numpy(np.float64)
@@ -198,21 +192,21 @@ def _covers(rule, x):
     return out
 
 
-def _count_task(batches):
+def _count_task():
     hasher = _text.Hasher()
     symbol, upper, mark, gap = (np.zeros(256, bool) for _ in range(4))
     symbol[list(b"#*$%&|<>")] = True
     upper[65:91] = True
     mark[list(b"!?")] = True
     gap[[9, 10, 11, 12, 13, 32]] = True
-    for batch in batches:
-        for part, data, offsets in _text.slices(batch, "text"):
-            counts = _counts(data, offsets, hasher, symbol, upper, mark, gap)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(part.schema.get_field_index("key"))]
-                + [pa.array(counts[c].astype(np.int64)) for c in COUNTS],
-                ["key", *COUNTS],
-            )
+
+    def count(data, offsets):
+        counts = _counts(data, offsets, hasher, symbol, upper, mark, gap)
+        return pa.StructArray.from_arrays(
+            [pa.array(counts[c].astype(np.int64)) for c in COUNTS], COUNTS
+        )
+
+    return count
 
 
 def _counts(data, offsets, hasher, symbol, upper, mark, gap) -> dict[str, np.ndarray]:
