@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Text held by numpy at a time; a longer text is held alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -101,7 +101,9 @@ class Hasher:
         if len(self.up) < n + 1:
             self.up, self.down = _powers(_MULTIPLIER, n + 1), _powers(_INVERSE, n + 1)
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(self.table[data] * self.up[:n], out=sums[1:])
+        sums[1:] = self.table[data]
+        sums[1:] *= self.up[:n]
+        np.cumsum(sums[1:], out=sums[1:])
         return scramble((sums[end] - sums[start]) * self.down[start])
 
     def windows(self, words: np.ndarray, first: np.ndarray, k: int):

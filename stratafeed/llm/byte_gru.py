@@ -21,7 +21,7 @@ from ._sample import labelled_texts
 
 PIECE_BYTES = 24
 UNKNOWN = "und"
-_SLICE = 4 << 20
+_SLICE = 2 << 20
 
 
 class Model(NamedTuple):

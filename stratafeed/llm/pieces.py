@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from . import _text
 
-_SLICE = 4 << 20
+_SLICE = 2 << 20
 #: Chunks of more characters are relaxed one by one with a heap.
 _LONG = 48
 #: Chunks whose ids a task remembers.
