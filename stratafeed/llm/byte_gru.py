@@ -175,7 +175,7 @@ def _recur(x, n, w, way: str, times):
     state = np.zeros((len(x), w["r" + way].shape[0]), np.float32)
     for t in times:
         live = int(np.searchsorted(-n, -t, "left"))
-        seen = _step(x[:live, t], state[:live], w, way)
+        seen = _step(x[:live, t], state[:live].copy(), w, way)
         state[:live] = seen[0]
         yield seen[0], seen
 
