@@ -304,3 +304,10 @@ def keyed_table_recomputed(spark: SparkSession, sf_dir: str) -> DataFrame:
         spec = TableSpec("by_type", rows.schema, ("event_type",))
         tables.upsert_table(spark, path, spec, rows)
     return tables.read_current(spark, path, spec)
+
+
+@check(latest_sql())
+def upsert_repeated_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source that holds every version of its keys, onto the earlier ones."""
+    events = table(spark, sf_dir, "events")
+    return merge.upsert(latest_events(spark, sf_dir, EARLY), events, KEYS, version="ts")

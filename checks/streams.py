@@ -37,7 +37,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     for _ in range(2):
         stream = files.stream_parquet(
-            spark, sf_dir, events.schema, name_glob="events.parquet"
+            spark, sf_dir, events.schema, name_glob="events.parque[t]"
         ).withColumn("accepted", F.col("event_type") != "error")
         run_incremental(spark, stream, path, spec)
     return keyed.read_current(spark, path, spec).drop("accepted")

@@ -9,6 +9,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .dedup import latest_version
+
 
 class AmbiguousMergeError(ValueError):
     """Several source rows match one target row."""
@@ -20,11 +22,16 @@ def upsert(
     keys: Sequence[str],
     version: str | None = None,
     null_safe: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """``target`` after updating matched rows and inserting unmatched ones.
 
-    Columns are those of ``target``; extra source columns are ignored. Both sides
-    are expected to hold a key once (``latest_version``, ``ambiguous_matches``).
+    Columns are those of ``target``; extra source columns are ignored. Of source rows
+    with one key, the one with the highest version counts, ties (and all, without a
+    version) decided by the remaining columns; rows that match nothing for a null key
+    are all kept. ``unique`` says that the source holds each key once, which spares
+    that step. A target that holds a key several times loses all of its rows to a
+    source row, unless one of them is newer.
 
     * ``version=None``: a source row always replaces the row it matches.
     * ``version=col``: a source row older than the stored one is ignored; on equal
@@ -33,19 +40,26 @@ def upsert(
 
     Only keys (and versions) of ``source`` are joined to ``target``. While they fit
     under the broadcast threshold of the session, ``target`` is not shuffled at all.
-    A source beyond that threshold, if there is a version to compare, is merged in
-    one full join instead, which shuffles each side once.
     """
     keys = list(keys)
     source = source.select(*target.columns)
+    if not unique:
+        source = _one_per_key(source, keys, version, null_safe)
     if version is not None:
-        if not _fits_broadcast(source):
-            return _full_merge(target, source, keys, version, null_safe)
         source = _not_stale(target, source, keys, version, null_safe)
     kept = _without_keys(target, source.select(*keys), keys, null_safe)
     return kept.unionByName(source)
 
 
+def _one_per_key(
+    source: DataFrame, keys: list[str], version: str | None, null_safe: bool
+) -> DataFrame:
+    if null_safe:
+        return latest_version(source, keys, version)
+    complete = latest_version(source.where(_all_present(keys)), keys, version)
+    return complete.unionByName(source.where(~_all_present(keys)))
+
+
 def ambiguous_matches(
     target: DataFrame,
     source: DataFrame,
@@ -100,48 +114,6 @@ def merge_into_table(
     merge.whenNotMatched().insertAll().merge()
 
 
-def _fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's size estimate is within the session's broadcast threshold."""
-    session = df.sparkSession._jsparkSession.sessionState()
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return estimate <= session.conf().autoBroadcastJoinThreshold()
-
-
-def _full_merge(
-    target: DataFrame,
-    source: DataFrame,
-    keys: list[str],
-    version: str,
-    null_safe: bool,
-) -> DataFrame:
-    apart = []
-    if not null_safe:
-        # Null keys match nothing; they go round the join.
-        apart = [df.where(~_all_present(keys)) for df in (target, source)]
-        target, source = (df.where(_all_present(keys)) for df in (target, source))
-    here = "__here"
-    joined = (
-        target.withColumn(here, F.lit(True))
-        .alias("stored")
-        .join(
-            source.withColumn(here, F.lit(True)).alias("incoming"),
-            _same_key(keys, null_safe),
-            "full",
-        )
-    )
-    take = _ref("stored", here).isNull() | (
-        _ref("incoming", here).isNotNull()
-        & ~_is_newer(_ref("stored", version), _ref("incoming", version))
-    )
-    merged = joined.select(
-        *[
-            F.when(take, _ref("incoming", c)).otherwise(_ref("stored", c)).alias(c)
-            for c in target.columns
-        ]
-    )
-    return reduce(DataFrame.unionByName, apart, merged)
-
-
 def _not_stale(
     target: DataFrame,
     source: DataFrame,

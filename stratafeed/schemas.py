@@ -101,6 +101,8 @@ class TableSpec:
       without a version); None takes all remaining columns.
     * ``gate``: boolean column that must be true; null counts as false.
     * ``iso_columns``: text columns stored as timestamps.
+    * ``complete_keys``: a row with a null in its key is rejected; otherwise nulls
+      are a key of their own.
     """
 
     name: str
@@ -111,10 +113,13 @@ class TableSpec:
     gate: str | None = None
     iso_columns: tuple[str, ...] = field(default=())
     keep_fraction: bool = False
+    complete_keys: bool = False
 
     @property
     def required(self) -> list[str]:
-        return [f.name for f in self.schema if not f.nullable]
+        """Columns without which a row is rejected."""
+        keys = self.keys if self.complete_keys else ()
+        return [f.name for f in self.schema if not f.nullable or f.name in keys]
 
     @property
     def stored_schema(self) -> T.StructType:
@@ -152,6 +157,7 @@ MAPS = TableSpec(
     name="tb_maps",
     schema=MAP_SCHEMA,
     keys=("Number", "GameId"),
+    complete_keys=True,
     tie_break=(
         "CurrentRound",
         "TeamAScore",

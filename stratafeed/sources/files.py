@@ -106,9 +106,14 @@ def stream_parquet(
     max_files: int | None = None,
     name_glob: str | None = None,
 ) -> DataFrame:
+    """Parquet files below a folder, or below what ``name_glob`` names in it.
+
+    The glob picks files or folders directly in ``path``, so a table may be one file or
+    a folder of part files.
+    """
     reader = _limited(spark.readStream.schema(schema), max_files)
     if name_glob is not None:
-        reader = reader.option("pathGlobFilter", name_glob)
+        path = f"{path}/{name_glob}"
     return reader.option("recursiveFileLookup", True).parquet(path)
 
 

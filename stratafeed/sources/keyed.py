@@ -53,7 +53,9 @@ def read_current(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
         return spark.createDataFrame([], schema)
     if stored is None or changes is None:
         return changes if stored is None else stored
-    return upsert(stored, changes, spec.keys, spec.version, null_safe=True)
+    return upsert(
+        stored, changes, spec.keys, spec.version, null_safe=True, unique=True
+    )
 
 
 def compact(spark: SparkSession, path: str, spec: TableSpec) -> str | None:

@@ -18,13 +18,16 @@ from ..sources.storage import exists
 def clean_batch(df: DataFrame, spec: TableSpec) -> DataFrame:
     """One row per key: gate, required fields, latest version, typed timestamps.
 
-    Ranking comes before the cast, so that the version text is what is compared.
+    A version in text is parsed, with its fraction, before rows are ranked, and that
+    value is stored: the guard of the table compares what the ranking compared, however
+    rows are spread over batches. A version that does not parse is older than any other.
     """
     good, _ = split_valid(through_gate(df, spec), spec.required)
+    other = [c for c in spec.iso_columns if c != spec.version]
+    if spec.version in spec.iso_columns:
+        good = normalise_iso(good, [spec.version], keep_fraction=True)
     latest = latest_version(good, spec.keys, spec.version, spec.tie_break)
-    return conform(
-        normalise_iso(latest, spec.iso_columns, spec.keep_fraction), spec.schema
-    )
+    return conform(normalise_iso(latest, other, spec.keep_fraction), spec.schema)
 
 
 def rejected_rows(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import shutil
+from pathlib import Path
 
 import pytest
 
@@ -350,3 +352,42 @@ def test_an_old_file_that_arrives_late_is_read(spark, feed):
         os.utime(path, (then, then))
         layers.refresh_matches(spark, feed.lake)
     assert {r.GameId for r in feed.bronze(MATCHES).collect()} == {1, 2}
+
+
+def test_streamed_table_as_file_and_as_folder(spark, folder):
+    from stratafeed.sources import files
+
+    df = spark.range(40)
+    df.coalesce(1).write.parquet(f"{folder}/one")
+    part = next(Path(f"{folder}/one").glob("part-*.parquet"))
+    (Path(folder) / "file").mkdir()
+    shutil.copy(part, f"{folder}/file/t.parquet")
+    df.repartition(4).write.parquet(f"{folder}/parts/t.parquet")
+    for where in ("file", "parts"):
+        stream = files.stream_parquet(spark, f"{folder}/{where}", df.schema, name_glob="t.parque[t]")
+        query = (
+            stream.writeStream.format("memory").queryName(f"seen_{where}")
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination(60)
+        assert spark.table(f"seen_{where}").count() == 40
+
+
+def test_versions_with_fractions_agree_in_one_and_two_batches(spark, folder):
+    from pyspark.sql import types as T
+
+    from stratafeed.schemas import TableSpec
+    from stratafeed.sources import files, keyed
+    from stratafeed.streaming.incremental import run_incremental
+
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("at", T.StringType())])
+    spec = TableSpec("t", schema, ("k",), "at", iso_columns=("at",))
+    told = [(1, "2023-01-01T00:00:00"), (1, "2023-01-02T00:00:00.5"), (1, "soon")]
+    results = []
+    for name, batches in (("one", [told]), ("three", [[told[1]], [told[0]], [told[2]]])):
+        for batch in batches:
+            files.append_json(spark.createDataFrame(batch, schema).coalesce(1), f"{folder}/{name}/raw")
+            stream = files.stream_json(spark, f"{folder}/{name}/raw", schema)
+            run_incremental(spark, stream, f"{folder}/{name}/table", spec)
+        results.append([str(r["at"]) for r in keyed.read_current(spark, f"{folder}/{name}/table", spec).collect()])
+    assert results[0] == results[1] == ["2023-01-02 00:00:00.500000"]

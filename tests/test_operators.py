@@ -180,7 +180,9 @@ def test_small_batch_does_not_shuffle_the_table(spark, folder):
     spark.range(10).selectExpr("id AS k", "id + 1 AS v").write.parquet(f"{folder}/b")
     table, piece = (spark.read.parquet(f"{folder}/{n}") for n in "tb")
     for version in (None, "v"):
-        merged = upsert(table, piece, ["k"], version=version, null_safe=True)
+        merged = upsert(
+            table, piece, ["k"], version=version, null_safe=True, unique=True
+        )
         merged.collect()
         assert "Exchange hashpartitioning" not in plan(merged)
 
@@ -411,3 +413,22 @@ def test_no_python_in_any_plan(spark, stored, batch):
         pending(stored, batch, ["k"]),
     ):
         assert "Python" not in plan(df)
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_upsert_reduces_repeated_source_keys(spark, threshold):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, threshold)
+    try:
+        schema = "k string, v int"
+        one = spark.createDataFrame([("a", 2)], schema)
+        two = spark.createDataFrame([("a", 1), ("a", 3), (None, 1), (None, 2)], schema)
+        apart = upsert(one, two, ["k"], version="v")
+        assert rows(apart) == rows(spark.createDataFrame([("a", 3), (None, 1), (None, 2)], schema))
+        assert rows(upsert(one, two.where("k = 'a'"), ["k"])) == [("a", 3)]
+        twice = spark.createDataFrame([("a", 1), ("a", 5)], schema)
+        newer = spark.createDataFrame([("a", 3)], schema)
+        assert rows(upsert(twice, newer, ["k"], version="v")) == [("a", 1), ("a", 5)]
+    finally:
+        spark.conf.set(key, before)
