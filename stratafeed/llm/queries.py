@@ -22,6 +22,7 @@ from . import (
 )
 from ._sample import key_crc
 from ._text import n_words
+from .graph import stored
 
 SHARDS = 8
 
@@ -105,7 +106,9 @@ def op9_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         n_words(F.col("text")).alias("size"),
         symbol_free(F.col("text")).alias("weight"),
     )
-    mixed = mixing.mix(docs, "doc_id", "source", "size", "weight")
+    # The mix reads its rows twice; the words of a text are counted once.
+    sized = stored(docs, "sizes")
+    mixed = mixing.mix(sized, "doc_id", "source", "size", "weight")
     taken = (F.col("size") * F.col("copies")).alias("taken")
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
