@@ -7,6 +7,7 @@ since its last run. No step passes rows or ids through the driver.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial
 
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..operators.days import select_days, select_rows
 from ..operators.nested import flatten_leaderboards, flatten_maps
-from ..operators.backlog import only_pending, pending
+from ..operators.backlog import pending, without_done
 from ..operators.stats import entity_stats, side_counts
 from ..schemas import (
     LEADERBOARD_SCHEMA,
@@ -32,11 +33,13 @@ from ..schemas import (
     TableSpec,
 )
 from ..sources import catalog, files, keyed
-from ..sources.storage import list_folders
+from ..sources.storage import list_folders, remove_folder
 from ..streaming.incremental import drain, run_incremental
 from .sql_tables import refresh_sql_table
 
 _DAY_LOG = T.StructType([T.StructField("Day", T.DateType())])
+#: Payloads with the number of their folder; folders are named ``batch=<number>``.
+_FOLDERS = T.StructType([*PAYLOAD_SCHEMA, T.StructField("batch", T.StringType())])
 
 
 @dataclass(frozen=True)
@@ -103,66 +106,119 @@ def land_details(
     """Store delivered payloads of bronze matches, each once.
 
     Each delivered file is read by one run only. Payloads whose match is not in
-    bronze yet wait in a folder of their own and are looked at again in later runs.
+    bronze yet wait in a folder of their own until a later run finds the match; a
+    waiting folder goes once all its ids have landed. Documents that do not parse as
+    declared are kept with their file under ``payloads_rejected``, and their match
+    stays pending.
     """
     matches = keyed.read_current(spark, lake.bronze(MATCHES), MATCHES)
     known = matches.select(F.col("GameId").alias("known_id"))
     payloads, waiting = lake.raw("payloads"), lake.raw("payloads_waiting")
-
-    def matched(docs: DataFrame) -> DataFrame:
-        once = files.each_once(docs, "Game.GameId", "GameId")
-        return once.join(known, F.col("GameId") == F.col("known_id"), "left")
+    # Ids are read once in a run; to them come those of the folders it writes.
+    before = _landed_ids(spark, lake)
+    before = None if before is None else before.persist()
+    written: list[str] = []
+
+    def landed(without: str | None = None) -> DataFrame | None:
+        """Landed ids, without the folder that a repeated batch will replace."""
+        new = [f"{payloads}/batch={own}" for own in written if own != without]
+        ids = None
+        if new:
+            docs = files.read_parquet(spark, new, PAYLOAD_SCHEMA)
+            ids = files.ids_of(docs, "Game.GameId", "GameId")
+        if before is None:
+            return ids
+        old = before.where(F.col("batch") != F.lit(without or "")).select("GameId")
+        return old if ids is None else old.unionByName(ids)
 
     def land(docs: DataFrame, own: str) -> None:
-        of_known = docs.where("known_id is not null")
-        landed = _landed_ids(spark, lake, without=own)
-        only_pending(of_known, landed, ["GameId"]).select(
-            *PAYLOAD_SCHEMA.names
-        ).write.mode("overwrite").parquet(f"{payloads}/{own}")
+        fresh = files.select_landable(docs, landed(own), "Game.GameId", "GameId")
+        fresh.write.mode("overwrite").parquet(f"{payloads}/batch={own}")
+        written.append(own)
 
     def store(batch: DataFrame, number: int) -> None:
-        own = f"batch={number}"
-        docs = matched(batch)
-        # Early payloads are counted while the others are written; the batch is read
-        # a second time only if there are any.
+        own = str(number)
+        whole = batch.where(
+            F.col(files.CORRUPT).isNull() & F.col("Game.GameId").isNotNull()
+        ).select(*PAYLOAD_SCHEMA.names)
+        broken = batch.where(F.col(files.CORRUPT).isNotNull())
+        docs = whole.join(known, F.col("Game.GameId") == F.col("known_id"), "left")
+        # Early payloads are counted while the others are written; they are joined a
+        # second time only if there are any.
         seen = Observation()
         early = F.count_if(F.col("known_id").isNull()).alias("early")
-        land(docs.observe(seen, early), own)
+        land(docs.observe(seen, early).where("known_id is not null").drop("known_id"), own)
         if seen.get["early"]:
-            docs.where("known_id is null").select(*PAYLOAD_SCHEMA.names).write.mode(
+            docs = docs.where("known_id is null").select(*PAYLOAD_SCHEMA.names)
+            files.each_once(docs, "Game.GameId", "GameId").drop("GameId").write.mode(
                 "overwrite"
-            ).parquet(f"{waiting}/{own}")
-
-    early_folders = [f"{waiting}/{name}" for name in list_folders(spark, waiting)]
-    if early_folders:
-        docs = files.read_parquet(spark, early_folders, PAYLOAD_SCHEMA)
-        land(matched(docs), f"batch=late-{len(list_folders(spark, payloads))}")
-    stream = files.stream_payloads(
-        spark, inbox, PAYLOAD_SCHEMA, one_per_file, max_files
-    )
-    drain(stream, store, lake.raw("payloads_checkpoint"))
+            ).parquet(f"{waiting}/batch={own}")
+        if not broken.isEmpty():
+            broken.select("file", F.col(files.CORRUPT).alias("text")).write.mode(
+                "overwrite"
+            ).parquet(f"{lake.raw('payloads_rejected')}/batch={own}")
+
+    try:
+        _land_waiting(spark, lake, known, landed, land)
+        schema = T.StructType(
+            [*PAYLOAD_SCHEMA, T.StructField(files.CORRUPT, T.StringType())]
+        )
+        stream = files.stream_payloads(spark, inbox, schema, one_per_file, max_files)
+        drain(
+            stream.withColumn("file", F.col("_metadata.file_path")),
+            store,
+            lake.raw("payloads_checkpoint"),
+        )
+    finally:
+        if before is not None:
+            before.unpersist()
+
+
+def _land_waiting(
+    spark: SparkSession,
+    lake: Lake,
+    known: DataFrame,
+    landed: Callable[[], DataFrame | None],
+    land: Callable[[DataFrame, str], None],
+) -> None:
+    """Land the waiting payloads whose match has come; retire folders that are done.
+
+    Ids decide; documents are read only if some can land. Only names of folders
+    reach the driver.
+    """
+    path = lake.raw("payloads_waiting")
+    names = list_folders(spark, path)
+    if not names:
+        return
+    docs = files.read_parquet(spark, path, _FOLDERS)
+    ids = docs.select("batch", F.col("Game.GameId").alias("GameId"))
+    came = F.col("GameId") == F.col("known_id")
+    ready = without_done(ids, landed(), ["GameId"]).join(known, came, "left_semi")
+    ready = ready.select(F.col("GameId").alias("ready_id")).distinct()
+    if not ready.isEmpty():
+        chosen = docs.join(ready, F.col("Game.GameId") == F.col("ready_id"), "left_semi")
+        number = len(list_folders(spark, lake.raw("payloads")))
+        land(chosen.select(*PAYLOAD_SCHEMA.names), f"late-{number}")
+    still = without_done(ids, landed(), ["GameId"]).select("batch").distinct()
+    waits = {f"batch={row.batch}" for row in still.collect()}
+    for name in names:
+        if name not in waits:
+            remove_folder(spark, f"{path}/{name}")
 
 
 def landed_manifest(spark: SparkSession, lake: Lake) -> DataFrame:
     """Every landed match with the file that holds its payload."""
-    path = lake.raw("payloads")
-    folders = [f"{path}/{name}" for name in list_folders(spark, path)]
-    return files.read_parquet(spark, folders, PAYLOAD_SCHEMA).select(
+    return files.read_parquet(spark, lake.raw("payloads"), _FOLDERS).select(
         F.col("Game.GameId").alias("gameId"), F.col("_metadata.file_path").alias("path")
     )
 
 
-def _landed_ids(
-    spark: SparkSession, lake: Lake, without: str | None = None
-) -> DataFrame | None:
-    path = lake.raw("payloads")
-    folders = [
-        f"{path}/{name}" for name in list_folders(spark, path) if name != without
-    ]
-    if not folders:
+def _landed_ids(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    """``GameId`` and ``batch``, its folder, of all landed payloads."""
+    docs = files.read_if_present(spark, lake.raw("payloads"), _FOLDERS)
+    if docs is None:
         return None
-    payloads = files.read_parquet(spark, folders, PAYLOAD_SCHEMA)
-    return files.ids_of(payloads, "Game.GameId", "GameId")
+    return docs.select(F.col("Game.GameId").alias("GameId"), "batch")
 
 
 def explode_details(

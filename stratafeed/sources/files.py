@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import latest_version
-from ..operators.backlog import only_pending
+from ..operators.backlog import without_done
 
 # By default a file stream skips files more than a week older than the newest one it
 # has seen, such as a late copy that kept its modification time.
@@ -19,6 +19,10 @@ ANY_AGE = "36500d"
 # Fixed value: text form of zone-free timestamps in JSON, microseconds kept.
 JSON_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
+#: Column that keeps the text of a document that does not parse as declared.
+CORRUPT = "_corrupt_record"
+_DIGEST = "__digest"
+
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return (
@@ -78,10 +82,15 @@ def stream_payloads(
     one_per_file: bool = True,
     max_files: int | None = None,
 ) -> DataFrame:
-    """``read_payloads`` over the files that are new."""
+    """``read_payloads`` over the files that are new.
+
+    If ``schema`` has the column ``CORRUPT``, it holds the text of a document that does
+    not parse as declared.
+    """
     reader = _limited(spark.readStream.schema(schema), max_files)
     return (
         reader.option("multiLine", one_per_file)
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("timestampNTZFormat", JSON_NTZ_FORMAT)
         .json(path)
     )
@@ -140,10 +149,10 @@ def each_once(
     """Non-empty payloads, one per id, with the id of ``path`` as column ``key``.
 
     A document without an id is empty; one with an id and no children is not. Among
-    copies of an id the highest by ``order`` is taken (all columns by default).
+    copies of an id the highest by ``order`` is taken. By default a digest of the whole
+    document decides, so that documents themselves are never compared or sorted.
     """
-    present = payloads.withColumn(key, F.col(path)).where(F.col(key).isNotNull())
-    return latest_version(present, [key], None, order)
+    return _one_per_id(_with_id(payloads, path, key), key, order)
 
 
 def select_landable(
@@ -155,10 +164,25 @@ def select_landable(
 ) -> DataFrame:
     """Payloads to land: not empty, each id once, not among the ids of ``landed``.
 
-    Copies are dropped before the join, which then reuses their partitioning.
+    What has landed is left out first, by ids; only the others are compared.
     """
-    fresh = only_pending(each_once(payloads, path, key, order), landed, [key])
-    return fresh.select(*payloads.columns)
+    fresh = without_done(_with_id(payloads, path, key), landed, [key])
+    return _one_per_id(fresh, key, order).select(*payloads.columns)
+
+
+def _with_id(payloads: DataFrame, path: str, key: str) -> DataFrame:
+    return payloads.withColumn(key, F.col(path)).where(F.col(key).isNotNull())
+
+
+def _one_per_id(
+    present: DataFrame, key: str, order: Sequence[str] | None
+) -> DataFrame:
+    if order is not None:
+        return latest_version(present, [key], None, order)
+    digest = F.sha2(F.to_json(F.struct(*present.columns)), 256)
+    return latest_version(
+        present.withColumn(_DIGEST, digest), [key], None, [_DIGEST]
+    ).drop(_DIGEST)
 
 
 def ids_of(payloads: DataFrame, path: str, key: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from ..operators.dedup import latest_version
 from ..operators.merge import require_unambiguous, upsert
 from ..schemas import TableSpec
-from .storage import exists, is_complete, list_folders, size_of
+from .storage import exists, is_complete, list_folders, remove_folder, size_of
 
 _BASE = "base"
 _INCREMENT = "increment"
@@ -106,6 +106,7 @@ def upsert_table(
         require_unambiguous(target, source, spec.keys, null_safe=True)
     merged = upsert(target, source, spec.keys, spec.version, null_safe=True)
     _write_base(merged, path, number)
+    remove_folder(spark, staged)
     return _folder(path, _BASE, number)
 
 

@@ -49,6 +49,12 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the library's own and everything below it."""
+    fs, p = _open(spark, path)
+    fs.delete(p, True)
+
+
 def size_of(spark: SparkSession, path: str) -> int:
     """Bytes of all files below a path."""
     fs, p = _open(spark, path)

@@ -391,3 +391,60 @@ def test_versions_with_fractions_agree_in_one_and_two_batches(spark, folder):
             run_incremental(spark, stream, f"{folder}/{name}/table", spec)
         results.append([str(r["at"]) for r in keyed.read_current(spark, f"{folder}/{name}/table", spec).collect()])
     assert results[0] == results[1] == ["2023-01-02 00:00:00.500000"]
+
+
+def bronze_match(spark, feed, *games):
+    blank = dict.fromkeys(MATCH_SCHEMA.names)
+    rows = [blank | match(g, "2023-01-10", "2023-01-10T12:00:00") for g in games]
+    files.append_json(
+        spark.createDataFrame(rows, MATCH_SCHEMA), feed.lake.raw(MATCHES.name)
+    )
+    layers.refresh_matches(spark, feed.lake)
+
+
+def folders(feed, name):
+    path = feed.lake.raw(name)
+    return sorted(f for f in os.listdir(path) if "=" in f) if os.path.isdir(path) else []
+
+
+def test_waiting_payloads_land_once_and_idle_runs_add_nothing(spark, feed):
+    bronze_match(spark, feed, 1)
+    for game in (1, 2, 3):
+        feed.deliver(str(game), payload(game, one_map(1, "dust")))
+    layers.land_details(spark, feed.lake, feed.inbox)
+    assert folders(feed, "payloads") == ["batch=0"]
+    assert folders(feed, "payloads_waiting") == ["batch=0"]
+    for _ in range(3):
+        layers.land_details(spark, feed.lake, feed.inbox)
+    assert folders(feed, "payloads") == ["batch=0"]
+    bronze_match(spark, feed, 2)
+    for _ in range(2):
+        layers.land_details(spark, feed.lake, feed.inbox)
+    assert folders(feed, "payloads") == ["batch=0", "batch=late-1"]
+    assert folders(feed, "payloads_waiting") == ["batch=0"]
+    bronze_match(spark, feed, 3)
+    layers.land_details(spark, feed.lake, feed.inbox)
+    assert folders(feed, "payloads_waiting") == []
+    landed = layers.landed_manifest(spark, feed.lake).collect()
+    assert sorted(r.gameId for r in landed) == [1, 2, 3]
+
+
+def test_payloads_that_do_not_parse_are_kept_and_stay_pending(spark, feed):
+    bronze_match(spark, feed, 1, 2, 3)
+    feed.deliver("1", payload(1, one_map(1, "dust")))
+    feed.deliver("3", payload(3, one_map(1, "dust", TeamAScore="n/a")))
+    Path(f"{feed.inbox}/2.json").write_text('[{"Game": {"GameId": 2, "Team')
+    layers.land_details(spark, feed.lake, feed.inbox)
+    rejected = spark.read.parquet(feed.lake.raw("payloads_rejected")).collect()
+    assert sorted(r.file.rsplit("/", 1)[1] for r in rejected) == ["2.json", "3.json"]
+    assert all(r.text for r in rejected)
+    wanted = layers.details_to_fetch(spark, feed.lake).collect()
+    assert sorted(r.GameId for r in wanted) == [2, 3]
+
+
+def test_landing_compares_no_whole_documents(spark, feed):
+    docs = spark.createDataFrame([], layers.PAYLOAD_SCHEMA)
+    once = files.select_landable(docs, None, "Game.GameId", "GameId")
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    ranked = [line for line in plan.splitlines() if "row_number" in line]
+    assert ranked and not any("Maps" in line or "Game#" in line for line in ranked)

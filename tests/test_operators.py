@@ -432,3 +432,14 @@ def test_upsert_reduces_repeated_source_keys(spark, threshold):
         assert rows(upsert(twice, newer, ["k"], version="v")) == [("a", 1), ("a", 5)]
     finally:
         spark.conf.set(key, before)
+
+
+def test_pending_rows_with_null_keys_go_round_the_join(spark):
+    rows = spark.createDataFrame(
+        [(1, None), (None, 2), (None, 2), (3, 4), (5, 6)], "a int, b int"
+    )
+    done = spark.createDataFrame([(3, 4), (None, 2), (None, None)], "a int, b int")
+    fresh = only_pending(rows, done, ["a", "b"])
+    assert sorted(map(repr, fresh.collect())) == sorted(
+        map(repr, rows.where("a IS NULL OR b IS NULL OR a = 5").collect())
+    )
