@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Bits of the hash by which keys are counted before they are ranked.
+_BIN_BITS = 12
+
 
 def key_crc(key: Column) -> Column:
     """crc32 of a key's text; a null key counts as empty text."""
@@ -32,8 +35,26 @@ def labelled_texts(
         .groupBy(F.col(key).alias("key"))
         .agg(F.min(label).alias("label"))
     )
-    order = Window.partitionBy("label").orderBy(F.xxhash64("key", F.lit(seed)), "key")
-    drawn = given.withColumn("__rank", F.row_number().over(order))
-    drawn = drawn.where(F.col("__rank") <= per_label).drop("__rank")
+    # A count of bins of the hash tells how many keys of its label come before a bin, so
+    # that a label is ranked bin by bin, and only as far as the sample reaches.
+    hashed = given.withColumn("__hash", F.xxhash64("key", F.lit(seed)))
+    hashed = hashed.withColumn("__bin", F.shiftright("__hash", 64 - _BIN_BITS))
+    earlier = (
+        Window.partitionBy("label").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    bins = (
+        hashed.groupBy("label", "__bin")
+        .agg(F.count("*").alias("__keys"))
+        .withColumn("__before", F.coalesce(F.sum("__keys").over(earlier), F.lit(0)))
+        .where(F.col("__before") < per_label)
+        .drop("__keys")
+    )
+    within = Window.partitionBy("label", "__bin").orderBy("__hash", "key")
+    drawn = (
+        hashed.join(bins, ["label", "__bin"])
+        .withColumn("__rank", F.col("__before") + F.row_number().over(within))
+        .where(F.col("__rank") <= per_label)
+        .select("key", "label")
+    )
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     return texts.join(F.broadcast(drawn), "key")
