@@ -1,6 +1,16 @@
 """Queries over the given tables, each with the SQL that must agree with it."""
 
-from . import days, feed, files, keyed, nested, quality, stats, streams  # noqa: F401
+from . import (  # noqa: F401
+    days,
+    feed,
+    files,
+    keyed,
+    nested,
+    pipeline,
+    quality,
+    stats,
+    streams,
+)
 from .registry import CHECKS
 
 __all__ = ["CHECKS"]
