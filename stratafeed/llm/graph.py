@@ -23,19 +23,25 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     root; the number of rounds grows with the logarithm of the nodes. A node with very
     many neighbours only ever meets an aggregate or a join that may be split.
     """
-    edges = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-    edges = stored(edges.distinct(), "links")
-    state = _state(edges)
-    while True:
+    edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+    edges = stored(edges.where("u <> v").distinct(), "links")
+    while not _is_settled(edges):
         edges = stored(_small_star(_large_star(edges)), "links")
-        state, before = _state(edges), state
-        if state == before:
-            break
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root"))
     leaves = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return leaves.unionByName(roots).distinct()
 
 
+def _is_settled(edges: DataFrame) -> bool:
+    """Whether each node has one edge down at most, and then none that leads to it."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+    ends = ends.unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    )
+    sums = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return sums.where((F.col("down") > 1) | ((F.col("down") == 1) & (F.col("up") == 1))).isEmpty()
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m"))
@@ -53,8 +59,3 @@ def _small_star(edges: DataFrame) -> DataFrame:
     moved = moved.select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
-
-def _state(edges: DataFrame) -> tuple:
-    # Sums of hashes over 2**32, so that they cannot overflow.
-    mark = F.pmod(F.xxhash64("u", "v"), F.lit(1 << 32))
-    return tuple(edges.agg(F.count("*"), F.sum(mark)).first())
