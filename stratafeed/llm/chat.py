@@ -19,41 +19,63 @@ _QUOTE = r"^(?:[ \t]*>)+[ \t]?"
 _WROTE = r"^.*\b(wrote|writes):[ \t]*$"
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also where lambdas read it often."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def passages(text: Column) -> Column:
     """Runs of lines of one quote level: array of (level, lines without their marks).
 
     A line like ``... wrote:`` directly before a deeper quotation belongs to neither.
     """
     lines = F.split(F.coalesce(text, F.lit("")), r"\r?\n")
-    levels = F.transform(
-        lines, lambda x: F.length(F.regexp_replace(F.regexp_extract(x, _QUOTE, 0), r"[^>]", ""))
-    )
-    marked = F.arrays_zip(
-        levels.alias("level"),
-        F.transform(lines, lambda x: F.regexp_replace(x, _QUOTE, "")).alias("line"),
+    marked = F.transform(
+        lines,
+        lambda x: _let(
+            F.regexp_extract(x, _QUOTE, 0),
+            lambda mark: F.struct(
+                F.length(F.translate(mark, " \t", "")).alias("level"),
+                F.substring(x, F.length(mark) + 1, F.length(x)).alias("line"),
+            ),
+        ),
     )
-    # Introductions of quotations go first; then runs are cut where the level changes.
-    told = F.filter(
+    return _let(_let(marked, _told), _runs)
+
+
+def _told(marked: Column) -> Column:
+    """The lines but for introductions of quotations."""
+    return F.filter(
         marked,
         lambda x, i: ~(
-            x["line"].rlike(_WROTE)
-            & F.coalesce(F.get(marked["level"], i + 1) > x["level"], F.lit(False))
+            F.coalesce(F.get(marked, i + 1)["level"] > x["level"], F.lit(False))
+            & x["line"].rlike(_WROTE)
         ),
     )
-    at = F.sequence(F.lit(0), F.size(told) - 1)
+
+
+def _runs(told: Column) -> Column:
+    """The lines, cut where the level changes."""
     begins = F.filter(
-        at, lambda i: (i == 0) | (F.get(told["level"], i) != F.get(told["level"], i - 1))
+        F.sequence(F.lit(0), F.size(told)),
+        lambda i: (i < F.size(told))
+        & ((i == 0) | (F.get(told, i)["level"] != F.get(told, i - 1)["level"])),
     )
-    runs = F.transform(
+    return _let(
         begins,
-        lambda b, k: F.struct(
-            F.get(told["level"], b).alias("level"),
-            F.slice(
-                told["line"], b + 1, F.coalesce(F.get(begins, k + 1), F.size(told)) - b
-            ).alias("lines"),
+        lambda at: _let(
+            F.transform(told, lambda x: x["line"]),
+            lambda lines: F.transform(
+                at,
+                lambda b, k: F.struct(
+                    F.get(told, b)["level"].alias("level"),
+                    F.slice(
+                        lines, b + 1, F.coalesce(F.get(at, k + 1), F.size(told)) - b
+                    ).alias("lines"),
+                ),
+            ),
         ),
     )
-    return F.when(F.size(told) > 0, runs).otherwise(F.filter(runs, lambda _: F.lit(False)))
 
 
 def _plain(line: Column) -> Column:
@@ -62,11 +84,14 @@ def _plain(line: Column) -> Column:
 
 def _units(lines: Column) -> Column:
     """Normalised texts to find a passage by: the whole of it, and each of its lines."""
-    each = F.transform(lines, _plain)
-    whole = F.trim(F.regexp_replace(F.array_join(each, " "), r" +", " "))
-    return F.array_distinct(
-        F.filter(F.concat(F.array(whole), each), lambda x: x != F.lit(""))
-    )
+
+    def of(each: Column) -> Column:
+        whole = F.trim(F.regexp_replace(F.array_join(each, " "), r" +", " "))
+        return F.array_distinct(
+            F.filter(F.concat(F.array(whole), each), lambda x: x != F.lit(""))
+        )
+
+    return _let(F.transform(lines, _plain), of)
 
 
 def link_quotes(df: DataFrame, conversation: str, turn: str, role: str, text: str) -> DataFrame:
@@ -101,24 +126,30 @@ def link_quotes(df: DataFrame, conversation: str, turn: str, role: str, text: st
         .withColumn("digest", F.md5(F.concat_ws("\0", F.coalesce("role", F.lit("")), "text")))
         .withColumn("passages", passages(F.col("text")))
     )
-    own = F.filter("passages", lambda p: p["level"] == 0)
-    quoted = F.filter("passages", lambda p: (p["level"] > 0) & (F.size(_units(p["lines"])) > 0))
+    messages = messages.withColumns(
+        {
+            "own": F.transform(
+                F.filter("passages", lambda p: p["level"] == 0), lambda p: p["lines"]
+            ),
+            "quoted": F.transform(
+                F.filter("passages", lambda p: p["level"] > 0),
+                lambda p: F.struct(p["level"].alias("level"), _units(p["lines"]).alias("units")),
+            ),
+        }
+    )
+    # With one own passage, all of it and the passage are the same.
+    parts = F.when(F.size("own") > 1, F.flatten(F.transform("own", _units))).otherwise(
+        F.array().cast("array<string>")
+    )
     messages = stored(
         messages.select(
             "conv",
             "turn",
             "role",
             "digest",
-            F.trim(F.array_join(F.flatten(F.transform(own, lambda p: p["lines"])), "\n")).alias("body"),
-            F.array_distinct(
-                F.concat(
-                    _units(F.flatten(F.transform(own, lambda p: p["lines"]))),
-                    F.flatten(F.transform(own, lambda p: _units(p["lines"]))),
-                )
-            ).alias("said"),
-            F.transform(
-                quoted, lambda p: F.struct(p["level"].alias("level"), _units(p["lines"]).alias("units"))
-            ).alias("quoted"),
+            F.trim(F.array_join(F.flatten("own"), "\n")).alias("body"),
+            F.array_distinct(F.concat(_units(F.flatten("own")), parts)).alias("said"),
+            F.filter("quoted", lambda q: F.size(q["units"]) > 0).alias("quoted"),
         ),
         "messages",
     )
