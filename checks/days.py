@@ -132,6 +132,37 @@ def days_range_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("o_orderkey", "o_totalprice")
 
 
+def _texts(orders: DataFrame) -> DataFrame:
+    return orders.withColumn(DAY, iso_text(DAY))
+
+
+@check("""
+    SELECT o_orderkey, o_totalprice FROM orders
+    WHERE o_orderdate::DATE > (SELECT max(o_orderdate::DATE) FROM orders
+                               WHERE o_orderdate < DATE '1998-06-15')
+      AND o_orderdate::DATE <= DATE '1998-06-20' + 1
+""")
+def days_new_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed and what is stored of it have their days as text."""
+    landing, stored = _texts(_landing(spark, sf_dir)), _texts(_stored(spark, sf_dir))
+    found = days.select_rows(landing, stored, "new", DAY, TODAY)
+    return found.select("o_orderkey", "o_totalprice")
+
+
+@check("""
+    SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate::DATE IN (
+        SELECT DISTINCT o_orderdate::DATE AS d FROM orders
+        WHERE o_orderdate::DATE < (SELECT min(o_orderdate::DATE) FROM orders
+                                   WHERE o_orderdate >= DATE '1998-06-15')
+        ORDER BY d DESC LIMIT 7)
+""")
+def days_history_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The range is found once and then used as two dates."""
+    landing, stored = _texts(_landing(spark, sf_dir)), _texts(_recent(spark, sf_dir))
+    found = days.find_range(landing, stored, "history", DAY, TODAY) or (TODAY, TODAY)
+    return days.rows_between(landing, DAY, *found).select("o_orderkey", "o_totalprice")
+
+
 @check("""
     SELECT DISTINCT o_orderdate::DATE::VARCHAR AS day FROM orders
     WHERE o_orderdate >= DATE '1998-06-15'

@@ -14,6 +14,8 @@ from stratafeed.operators.stats import side_counts as _side_counts
 from stratafeed.plans.layers import player_stats as _player_stats
 from stratafeed.plans.layers import team_counts as _team_counts
 from stratafeed.plans.sql_tables import run_sql_table
+from stratafeed.sources import catalog, files
+from stratafeed.sources.storage import new_folder
 
 from .registry import check, table
 
@@ -159,6 +161,22 @@ _BY_SIDE = """
 """
 
 
+@check("SELECT o_orderstatus, count(*) AS n_orders FROM orders GROUP BY o_orderstatus")
+def published_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of part files under a name in a database, read by SQL on that name."""
+    path = new_folder(spark, "published_table")
+    files.append_parquet(table(spark, sf_dir, "orders"), path)
+    catalog.ensure_database(spark, "checks_db")
+    catalog.publish_folder(spark, "checks_db.published_orders", path)
+    if not catalog.table_exists(spark, "checks_db", "published_orders"):
+        raise LookupError("checks_db.published_orders")
+    return run_sql_table(
+        spark,
+        "SELECT o_orderstatus, count(*) AS n_orders FROM checks_db.published_orders "
+        "GROUP BY o_orderstatus",
+    )
+
+
 @check(_BY_SIDE)
 def sql_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table given as SQL text over named frames."""

@@ -43,6 +43,38 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.read_current(spark, path, spec).drop("accepted")
 
 
+@check("""
+    SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'stored' WHEN 'F' THEN 'cut off'
+                       ELSE 'other type' END AS outcome
+    FROM orders
+""")
+def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines cut off, or with a field of another type, are kept apart with their text."""
+    key, status, price = columns = ["o_orderkey", "o_orderstatus", "o_totalprice"]
+    orders = table(spark, sf_dir, "orders").select(*columns)
+    path = new_folder(spark, "malformed_lines")
+    whole = F.to_json(F.struct(*columns))
+    other = F.to_json(F.struct(key, status, F.lit("n/a").alias(price)))
+    line = (
+        F.when(F.col(status) == "F", F.substring(whole, F.lit(1), F.length(whole) - 1))
+        .when(F.col(status) == "O", whole)
+        .otherwise(other)
+    )
+    orders.select(line.alias("value")).write.text(f"{path}/raw")
+    spec = TableSpec("orders", orders.schema, (key,))
+    stream = files.stream_json(spark, f"{path}/raw", files.with_corrupt(orders.schema))
+    run_incremental(spark, stream, f"{path}/table", spec)
+    stored = keyed.read_current(spark, f"{path}/table", spec)
+    apart = spark.read.schema("file string, text string").parquet(f"{path}/table/malformed")
+    found = F.regexp_extract("text", r'"o_orderkey":(\d+)', 1).cast(orders.schema[key].dataType)
+    return stored.select(key, F.lit("stored").alias("outcome")).unionByName(
+        apart.select(
+            found.alias(key),
+            F.when(F.col("text").endswith("}"), "other type").otherwise("cut off").alias("outcome"),
+        )
+    )
+
+
 @check(latest_sql())
 def stream_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON source, over every file in its folder."""

@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The text accepted for a timestamp, for a day, and for a timestamp
-# with a fraction.
+# The text accepted for a timestamp, for a day, for either by its start,
+# and for a timestamp with a fraction.
 ISO_SECONDS = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}\z"
 ISO_DAY = r"^\d{4}-\d{2}-\d{2}\z"
+ISO_START = r"^\d{4}-\d{2}-\d{2}([T ]|\z)"
 ISO_FRACTION = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?\z"
 
 

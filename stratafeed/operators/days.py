@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import as_day
+from ..functions.text import ISO_START, as_day
 
 # Fixed value: non-empty days that one run of the history mode goes back.
 HISTORY_DAYS = 7
@@ -69,25 +69,61 @@ def select_rows(
     * ``range``: from ``d1`` to ``d2``, both included; ``d1`` must be the earlier.
 
     Only days that have rows count, so ``history`` ends when history does. ``day``
-    may be a date, a zone-free timestamp or ISO text.
+    may be a date, a zone-free timestamp or ISO text (``yyyy-MM-dd``, with or without
+    a time); other text belongs to no day.
     """
+    bounds = _bounds(landing, stored, mode, day, today, d1, d2)
+    return landing.where(_within(landing, day, bounds.lo, bounds.hi))
+
+
+def find_range(
+    landing: DataFrame,
+    stored: DataFrame | None,
+    mode: str,
+    day: str,
+    today: dt.date | None = None,
+    d1: str | dt.date | None = None,
+    d2: str | dt.date | None = None,
+) -> tuple[dt.date, dt.date] | None:
+    """The range ``[lo, hi)`` of ``select_rows`` as two dates, for several uses of it.
+
+    None if there is no day to load.
+    """
+    bounds = _bounds(landing, stored, mode, day, today, d1, d2)
+    if isinstance(bounds.lo, dt.date):
+        return bounds.lo, bounds.hi
+    ends = {"lo": _end(bounds.lo, T.DateType()), "hi": _end(bounds.hi, T.DateType())}
+    row = landing.sparkSession.range(1).select(*[c.alias(n) for n, c in ends.items()]).first()
+    return None if row.lo is None or row.hi is None else (row.lo, row.hi)
+
+
+def rows_between(landing: DataFrame, day: str, lo: dt.date, hi: dt.date) -> DataFrame:
+    """Rows from ``lo`` up to, but not including, ``hi``."""
+    return landing.where(_within(landing, day, lo, hi))
+
+
+def _bounds(
+    landing: DataFrame,
+    stored: DataFrame | None,
+    mode: str,
+    day: str,
+    today: dt.date | None,
+    d1: str | dt.date | None,
+    d2: str | dt.date | None,
+) -> _Bounds:
     match Mode(mode):
         case Mode.NEW:
-            bounds = _new(landing, stored, day, today or _today())
+            return _new(landing, stored, day, today or _today())
         case Mode.HISTORY:
-            bounds = _history(landing, stored, day, today or _today())
+            return _history(landing, stored, day, today or _today())
         case Mode.DATE:
             first = _parse(d1)
-            bounds = _Bounds(first, _next(first))
+            return _Bounds(first, _next(first))
         case Mode.RANGE:
             first, last = _parse(d1), _parse(d2)
             if not first < last:
                 raise ValueError(f"the range {first} to {last} is not in order")
-            bounds = _Bounds(first, _next(last))
-    column, dtype = _comparable(landing, day)
-    return landing.where(
-        (column >= _end(bounds.lo, dtype)) & (column < _end(bounds.hi, dtype))
-    )
+            return _Bounds(first, _next(last))
 
 
 def frontier(df: DataFrame, day: str) -> DataFrame:
@@ -144,8 +180,7 @@ def _history(
 
 
 def _newest_until(landing: DataFrame, day: str, today: dt.date) -> DataFrame:
-    column, dtype = _comparable(landing, day)
-    upto = landing.where(column < _end(_next(today), dtype))
+    upto = landing.where(_within(landing, day, None, _next(today)))
     return frontier(upto, day).select(F.col("max_day").alias("d"))
 
 
@@ -153,9 +188,8 @@ def _nth_newest_before(
     landing: DataFrame, day: str, before: DataFrame, n: int
 ) -> DataFrame:
     """The oldest of the ``n`` newest days with rows before ``before``."""
-    column, dtype = _comparable(landing, day)
     newest = (
-        landing.where(column < _end(before, dtype))
+        landing.where(_within(landing, day, None, before))
         .select(as_day(F.col(day)).alias("d"))
         .distinct()
         .orderBy(F.col("d").desc())
@@ -168,16 +202,21 @@ def _shift(one_day: DataFrame, days: int) -> DataFrame:
     return one_day.select(F.date_add("d", days).alias("d"))
 
 
-def _comparable(df: DataFrame, day: str) -> tuple[Column, T.DataType]:
-    """The column to compare and the type its bounds need.
+def _within(
+    df: DataFrame, day: str, lo: DataFrame | dt.date | None, hi: DataFrame | dt.date
+) -> Column:
+    """Whether a row's day is in ``[lo, hi)``.
 
-    Typed columns are compared as they are, so that the predicate can be pushed
-    into the scan; text is reduced to its date.
+    The bare column is compared, so that the predicate can be pushed into the scan; ISO
+    text sorts as its days do, so it is compared with the text of the ends.
     """
-    dtype = df.schema[day].dataType
+    column, dtype = F.col(day), df.schema[day].dataType
+    inside = column < _end(hi, dtype)
+    if lo is not None:
+        inside = (column >= _end(lo, dtype)) & inside
     if isinstance(dtype, T.StringType):
-        return as_day(F.col(day)), T.DateType()
-    return F.col(day), dtype
+        inside = inside & column.rlike(ISO_START) & as_day(column).isNotNull()
+    return inside
 
 
 def _end(bound: DataFrame | dt.date, dtype: T.DataType) -> Column:

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.days import select_days, select_rows
+from ..functions.text import as_day
+from ..operators.days import find_range, rows_between
 from ..operators.nested import flatten_leaderboards, flatten_maps
 from ..operators.backlog import pending, without_done
 from ..operators.stats import entity_stats, side_counts
@@ -75,18 +76,24 @@ def load_matches(
     """
     raw, log = lake.raw(MATCHES.name), lake.raw("loaded_days")
     stored = files.read_if_present(spark, log, _DAY_LOG)
-    selection = (stored, mode, "Day", today or dt.date.today(), d1, d2)
-    days = select_days(landing, *selection).withColumnRenamed("day", "Day")
+    today = today or dt.date.today()
+    # The range is found once, as two dates; with nothing to load it is empty.
+    found = find_range(landing, stored, mode, "Day", today, d1, d2) or (today, today)
+    chosen = rows_between(landing, "Day", *found)
     # Most scan tasks hold few of the chosen rows; rebalancing makes whole files.
-    files.append_json(select_rows(landing, *selection).hint("rebalance"), raw)
-    files.append_parquet(days, log)
+    files.append_json(chosen.hint("rebalance"), raw)
+    files.append_parquet(chosen.select(as_day(F.col("Day")).alias("Day")).distinct(), log)
 
 
 def refresh_matches(
     spark: SparkSession, lake: Lake, max_files: int | None = None, **options
 ) -> None:
-    """Raw matches to the bronze match table."""
-    stream = files.stream_json(spark, lake.raw(MATCHES.name), MATCH_SCHEMA, max_files)
+    """Raw matches to the bronze match table.
+
+    Lines that do not parse as declared are kept under ``malformed`` in its folder.
+    """
+    schema = files.with_corrupt(MATCH_SCHEMA)
+    stream = files.stream_json(spark, lake.raw(MATCHES.name), schema, max_files)
     run_incremental(spark, stream, lake.bronze(MATCHES), MATCHES, **options)
 
 
@@ -160,9 +167,7 @@ def land_details(
 
     try:
         _land_waiting(spark, lake, known, landed, land)
-        schema = T.StructType(
-            [*PAYLOAD_SCHEMA, T.StructField(files.CORRUPT, T.StringType())]
-        )
+        schema = files.with_corrupt(PAYLOAD_SCHEMA)
         stream = files.stream_payloads(spark, inbox, schema, one_per_file, max_files)
         drain(
             stream.withColumn("file", F.col("_metadata.file_path")),

@@ -13,10 +13,24 @@ from ..sources import catalog, keyed
 def run_sql_table(
     spark: SparkSession, sql: str, views: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
-    """The result of a query over catalog tables and the given named frames."""
-    for name, df in (views or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql)
+    """The result of a query over catalog tables and the given named frames.
+
+    The names hold for this query only: temporary views of the session with the same
+    names are as before when it returns.
+    """
+    views = views or {}
+    present = {n: spark.table(n) for n in views if spark.catalog.tableExists(n)}
+    # Only what can be dropped was a temporary view; a table of that name stays.
+    hidden = {n: df for n, df in present.items() if spark.catalog.dropTempView(n)}
+    try:
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(sql)
+    finally:
+        for name in views:
+            spark.catalog.dropTempView(name)
+        for name, df in hidden.items():
+            df.createOrReplaceTempView(name)
 
 
 def refresh_sql_table(

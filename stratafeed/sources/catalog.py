@@ -26,7 +26,12 @@ def publish_folder(spark: SparkSession, name: str, folder: str) -> None:
 
     Replacing the view moves readers from one folder to the next in one step.
     """
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{folder}`")
+    view = ".".join(map(_quoted, name.split(".")))
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.{_quoted(folder)}")
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def load_schema(path: str) -> T.StructType:

@@ -21,9 +21,16 @@ JSON_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 #: Column that keeps the text of a document that does not parse as declared.
 CORRUPT = "_corrupt_record"
+#: Column that keeps the file of a row whose text may have to be kept.
+FILE = "__file"
 _DIGEST = "__digest"
 
 
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    """``schema`` and the column for the text of what does not parse as declared."""
+    return T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return (
         spark.read.schema(schema)
@@ -102,10 +109,20 @@ def stream_json(
     schema: T.StructType,
     max_files: int | None = None,
 ) -> DataFrame:
-    reader = spark.readStream.schema(schema).option(
-        "timestampNTZFormat", JSON_NTZ_FORMAT
+    """Lines of JSON in new files.
+
+    If ``schema`` has the column ``CORRUPT``, it holds the text of a line that does not
+    parse as declared, and the column ``FILE`` the file of each row.
+    """
+    reader = (
+        spark.readStream.schema(schema)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("timestampNTZFormat", JSON_NTZ_FORMAT)
     )
-    return _limited(reader, max_files).option("recursiveFileLookup", True).json(path)
+    rows = _limited(reader, max_files).option("recursiveFileLookup", True).json(path)
+    if CORRUPT not in rows.columns:
+        return rows
+    return rows.withColumn(FILE, F.col("_metadata.file_path"))
 
 
 def stream_parquet(

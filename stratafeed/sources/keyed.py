@@ -33,7 +33,7 @@ def write_increment(df: DataFrame, path: str, number: int) -> None:
     base already holds.
     """
     folder = _folder(path, _INCREMENT, number)
-    folded = _folded(df.sparkSession, path)
+    folded, _ = _state(df.sparkSession, path)
     if number <= folded and not exists(df.sparkSession, folder):
         raise ValueError(f"batch {number} is new, but the base is at {folded}")
     df.write.mode("overwrite").parquet(folder)
@@ -42,11 +42,10 @@ def write_increment(df: DataFrame, path: str, number: int) -> None:
 def read_current(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     """Current rows: every key once; an absent table is an empty one."""
     schema = spec.stored_schema
-    base = _numbers(spark, path, _BASE)
-    increments = _open_increments(spark, path)
+    folded, increments = _state(spark, path)
     stored = changes = None
-    if base:
-        stored = spark.read.schema(schema).parquet(_folder(path, _BASE, base[-1]))
+    if folded >= 0:
+        stored = spark.read.schema(schema).parquet(_folder(path, _BASE, folded))
     if increments:
         changes = _winners(spark, path, spec, increments)
     if stored is None and changes is None:
@@ -60,11 +59,11 @@ def read_current(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
 
 def compact(spark: SparkSession, path: str, spec: TableSpec) -> str | None:
     """Fold open increments into a new base; the folder of the newest base."""
-    increments = _open_increments(spark, path)
+    folded, increments = _state(spark, path)
     if increments:
-        _write_base(read_current(spark, path, spec), path, increments[-1])
-    base = _numbers(spark, path, _BASE)
-    return _folder(path, _BASE, base[-1]) if base else None
+        folded = increments[-1]
+        _write_base(read_current(spark, path, spec), path, folded)
+    return _folder(path, _BASE, folded) if folded >= 0 else None
 
 
 def compact_if_due(
@@ -74,10 +73,10 @@ def compact_if_due(
 
     A single increment without a base is left alone: its keys are unique already.
     """
-    base, increments = _numbers(spark, path, _BASE), _open_increments(spark, path)
-    if not increments or (not base and len(increments) == 1):
+    folded, increments = _state(spark, path)
+    if not increments or (folded < 0 and len(increments) == 1):
         return
-    stored = size_of(spark, _folder(path, _BASE, base[-1])) if base else 0
+    stored = size_of(spark, _folder(path, _BASE, folded)) if folded >= 0 else 0
     arrived = sum(size_of(spark, _folder(path, _INCREMENT, n)) for n in increments)
     if arrived >= share * stored:
         compact(spark, path, spec)
@@ -97,7 +96,8 @@ def upsert_table(
     folder of its own, and checked and merged from there. ``check`` refuses a
     source that would update one row twice.
     """
-    number = _next_number(spark, path)
+    folded, increments = _state(spark, path)
+    number = max(folded, *increments) + 1 if increments else folded + 1
     staged = _folder(path, "staged", number)
     source.select(*spec.schema.names).write.mode("overwrite").parquet(staged)
     source = spark.read.schema(spec.stored_schema).parquet(staged)
@@ -112,13 +112,25 @@ def upsert_table(
 
 def open_increments(spark: SparkSession, path: str) -> int:
     """How many increments have not been folded into a base."""
-    return len(_open_increments(spark, path))
+    return len(_state(spark, path)[1])
 
 
 def is_stored(spark: SparkSession, path: str) -> bool:
-    return exists(spark, path) and bool(
-        _numbers(spark, path, _BASE) or _numbers(spark, path, _INCREMENT)
-    )
+    folded, increments = _state(spark, path)
+    return folded >= 0 or bool(increments)
+
+
+def remove_superseded(spark: SparkSession, path: str) -> None:
+    """Delete the bases before the newest one, and the increments it holds.
+
+    For when no reader uses them any more. The last increment it holds stays, because
+    a stream may repeat that batch.
+    """
+    folded, _ = _state(spark, path)
+    for kind, numbers in _folders(spark, path).items():
+        for number in numbers:
+            if number < folded:
+                remove_folder(spark, _folder(path, kind, number))
 
 
 def _winners(
@@ -137,26 +149,27 @@ def _write_base(df: DataFrame, path: str, number: int) -> None:
     df.write.mode("overwrite").parquet(_folder(path, _BASE, number))
 
 
-def _open_increments(spark: SparkSession, path: str) -> list[int]:
-    folded = _folded(spark, path)
-    return [n for n in _numbers(spark, path, _INCREMENT) if n > folded]
-
+def _state(spark: SparkSession, path: str) -> tuple[int, list[int]]:
+    """The number of the newest base, -1 without one, and those of open increments.
 
-def _folded(spark: SparkSession, path: str) -> int:
-    """The number up to which increments are in the base; -1 without a base."""
-    return max(_numbers(spark, path, _BASE), default=-1)
-
-
-def _next_number(spark: SparkSession, path: str) -> int:
-    used = _numbers(spark, path, _BASE) + _numbers(spark, path, _INCREMENT)
-    return max(used, default=-1) + 1
-
-
-def _numbers(spark: SparkSession, path: str, kind: str) -> list[int]:
-    """Numbers of the committed folders of a kind, in order."""
-    found = (name.split("=") for name in list_folders(spark, path) if "=" in name)
-    numbers = sorted(int(n) for k, n in found if k == kind)
-    return [n for n in numbers if is_complete(spark, _folder(path, kind, n))]
+    Only committed folders count. That is looked up for the newest base and for the
+    increments after it, so the work does not grow with what was folded before.
+    """
+    found = _folders(spark, path)
+    bases = sorted(found[_BASE], reverse=True)
+    folded = next((n for n in bases if is_complete(spark, _folder(path, _BASE, n))), -1)
+    later = sorted(n for n in found[_INCREMENT] if n > folded)
+    return folded, [n for n in later if is_complete(spark, _folder(path, _INCREMENT, n))]
+
+
+def _folders(spark: SparkSession, path: str) -> dict[str, list[int]]:
+    """Numbers of the folders of each kind, by one listing."""
+    found: dict[str, list[int]] = {_BASE: [], _INCREMENT: []}
+    for name in list_folders(spark, path):
+        kind, _, number = name.partition("=")
+        if kind in found:
+            found[kind].append(int(number))
+    return found
 
 
 def _folder(path: str, kind: str, number: int) -> str:

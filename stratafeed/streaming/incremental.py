@@ -11,7 +11,7 @@ from ..functions.quality import conform, has_required, split_valid
 from ..functions.text import normalise_iso
 from ..operators.dedup import latest_version
 from ..schemas import TableSpec
-from ..sources import keyed
+from ..sources import files, keyed
 from ..sources.storage import exists
 
 
@@ -51,8 +51,10 @@ def run_incremental(
 
     The first run is the full load; a later one sees only new files. The
     checkpoint lies inside the table folder, because batch numbers name its
-    increments. Rows without a required field are kept under ``rejected``. The
-    increments are folded into the base when they reach ``compact_share`` of it.
+    increments. Rows without a required field are kept under ``rejected``. If the
+    stream has the column ``files.CORRUPT``, rows with a text in it are kept, as file
+    and text, under ``malformed``, whatever the gate says. The increments are folded
+    into the base when they reach ``compact_share`` of it.
     """
     checkpoint = f"{path}/_checkpoint"
     if keyed.is_stored(spark, path) and not exists(spark, f"{checkpoint}/offsets"):
@@ -61,23 +63,40 @@ def run_incremental(
             "numbers of its batches"
         )
 
+    kept_apart = files.CORRUPT in stream.columns
+    broken = F.col(files.CORRUPT).isNotNull() if kept_apart else F.lit(False)
+
+    def whole(batch: DataFrame) -> DataFrame:
+        return batch.where(~broken).select(*spec.schema.names) if kept_apart else batch
+
     def store(batch: DataFrame, number: int) -> None:
         # Rejects are counted while the increment is written; the batch is read a
         # second time only if there are any.
         seen = Observation()
-        missing = F.count_if(~has_required(spec.required)).alias("rejected")
-        keyed.write_increment(
-            clean_batch(batch.observe(seen, missing), spec), path, number
-        )
+        missing = F.count_if(~broken & ~has_required(spec.required)).alias("rejected")
+        malformed = F.count_if(broken).alias("malformed")
+        observed = batch.observe(seen, missing, malformed)
+        keyed.write_increment(clean_batch(whole(observed), spec), path, number)
         if seen.get["rejected"]:
-            rejected_rows(batch, spec).write.mode("overwrite").parquet(
+            rejected_rows(whole(batch), spec).write.mode("overwrite").parquet(
                 f"{path}/rejected/batch={number}"
             )
+        if seen.get["malformed"]:
+            texts = batch.where(broken).select(
+                F.col(files.FILE).alias("file"), F.col(files.CORRUPT).alias("text")
+            )
+            texts.write.mode("overwrite").parquet(f"{path}/malformed/batch={number}")
         keyed.compact_if_due(spark, path, spec, compact_share)
 
     # The batch that foreachBatch hands over is no longer part of the scan's plan,
     # so the gate and the projection are applied to the stream, where they reach it.
-    narrowed = conform(through_gate(stream, spec), spec.schema)
+    if kept_apart:
+        gate = F.lit(True) if spec.gate is None else F.col(spec.gate)
+        narrowed = stream.where(broken | gate).select(
+            *spec.schema.names, files.FILE, files.CORRUPT
+        )
+    else:
+        narrowed = conform(through_gate(stream, spec), spec.schema)
     drain(narrowed, store, checkpoint, timeout)
 
 

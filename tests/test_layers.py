@@ -448,3 +448,20 @@ def test_landing_compares_no_whole_documents(spark, feed):
     plan = once._jdf.queryExecution().optimizedPlan().toString()
     ranked = [line for line in plan.splitlines() if "row_number" in line]
     assert ranked and not any("Maps" in line or "Game#" in line for line in ranked)
+
+
+def test_match_lines_that_do_not_parse_are_kept_apart(spark, feed):
+    """Cut off, or with a field of another type: neither merged nor lost."""
+    raw = feed.lake.raw(MATCHES.name)
+    os.makedirs(raw)
+    good = json.dumps(match(1, "2023-01-10", "2023-01-10T20:00:00"))
+    cut = json.dumps(match(2, "2023-01-10", "2023-01-10T20:00:00"))[:-9]
+    typed = json.dumps(match(3, "2023-01-10", "2023-01-10T20:00:00", TeamAScore="n/a"))
+    opened = json.dumps(match(4, "2023-01-10", "2023-01-10T20:00:00", closed=False))
+    with open(f"{raw}/lines.json", "w") as file:
+        file.write("\n".join([good, cut, typed, opened]))
+    layers.refresh_matches(spark, feed.lake)
+    assert [r.GameId for r in feed.bronze(MATCHES).collect()] == [1]
+    apart = spark.read.parquet(f"{feed.lake.bronze(MATCHES)}/malformed").collect()
+    assert sorted(r.text for r in apart) == sorted([cut, typed])
+    assert all(r.file.endswith("lines.json") for r in apart)

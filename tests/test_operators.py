@@ -24,6 +24,7 @@ from stratafeed.operators import (
     side_counts,
     upsert,
 )
+from stratafeed.operators import days
 from stratafeed.operators.merge import require_unambiguous
 from stratafeed.schemas import LEADERBOARD_SCHEMA, MAP_SCHEMA, PAYLOAD_SCHEMA
 
@@ -443,3 +444,19 @@ def test_pending_rows_with_null_keys_go_round_the_join(spark):
     assert sorted(map(repr, fresh.collect())) == sorted(
         map(repr, rows.where("a IS NULL OR b IS NULL OR a = 5").collect())
     )
+
+
+def test_text_days_reach_the_scan(spark, folder):
+    texts = ["2023-01-08T23:59:59", "2023-01-09", "2023-01-11T10:00:00", "2023-01-12",
+             "2023-01-10x", "2023-01-99", None]
+    spark.createDataFrame([(t,) for t in texts], "Day string").write.parquet(folder + "/feed")
+    feed = spark.read.parquet(folder + "/feed")
+    chosen = days.select_rows(feed, None, "range", "Day", d1="2023-01-09", d2="2023-01-11")
+    assert {r.Day for r in chosen.collect()} == {"2023-01-09", "2023-01-11T10:00:00"}
+    plan = chosen._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(Day,2023-01-09)" in plan
+    assert "LessThan(Day,2023-01-12)" in plan
+    found = days.find_range(feed, None, "history", "Day", dt.date(2023, 1, 11))
+    assert found == (dt.date(2023, 1, 8), dt.date(2023, 1, 12))
+    nothing = feed.where("Day IS NULL")
+    assert days.find_range(nothing, None, "new", "Day", dt.date(2023, 1, 11)) is None

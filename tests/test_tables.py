@@ -212,3 +212,49 @@ def test_sql_table_is_merged_and_published(spark, folder):
         refresh_sql_table(spark, "sql_db", f"{folder}/counts", spec, result)
         assert rows(spark.table("sql_db.counts")) == expected
     assert spark.table("sql_db.counts").where(F.col("team") == "x").count() == 1
+
+
+def test_views_of_the_session_are_left_alone(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "k string")
+    df.limit(1).createOrReplaceTempView("given_view")
+    sql = "SELECT count(*) AS n FROM given_view"
+    assert rows(run_sql_table(spark, sql, {"given_view": df})) == [(2,)]
+    assert rows(spark.sql(sql)) == [(1,)]
+    run_sql_table(spark, "SELECT * FROM other_view", {"other_view": df})
+    assert not spark.catalog.tableExists("other_view")
+    spark.catalog.dropTempView("given_view")
+
+
+def test_names_are_quoted(spark, folder):
+    df = spark.createDataFrame([("a", 1, "x")], SCHEMA)
+    files.append_parquet(df, f"{folder}/odd`name")
+    catalog.ensure_database(spark, "quoted_db")
+    catalog.publish_folder(spark, "quoted_db.order", f"{folder}/odd`name")
+    assert rows(spark.table("quoted_db.`order`")) == rows(df)
+
+
+def test_work_does_not_grow_with_what_was_folded(spark, folder, monkeypatch):
+    """Folders of old batches cost nothing, and go when asked for."""
+    asked = []
+    monkeypatch.setattr(
+        keyed, "is_complete", lambda s, p: asked.append(p) or is_complete(s, p)
+    )
+    counts = []
+    for folded in (5, 50):
+        table = f"{folder}/{folded}"
+        for kind in ("base", "increment"):
+            for n in range(folded + 1):
+                os.makedirs(f"{table}/{kind}={n}")
+        for name in (f"base={folded}", f"increment={folded + 1}"):
+            df = spark.createDataFrame([(name, 1, "x")], SCHEMA)
+            df.write.mode("overwrite").parquet(f"{table}/{name}")
+        asked.clear()
+        assert keyed.open_increments(spark, table) == 1
+        assert keyed.read_current(spark, table, PLAIN).count() == 2
+        counts.append(len(asked))
+        keyed.remove_superseded(spark, table)
+        assert sorted(os.listdir(table)) == sorted(
+            [f"base={folded}", f"increment={folded}", f"increment={folded + 1}"]
+        )
+        assert keyed.read_current(spark, table, PLAIN).count() == 2
+    assert counts[0] == counts[1]
