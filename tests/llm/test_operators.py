@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -300,6 +301,56 @@ def test_licences(spark, odd):
     ]
     assert licences.scan(odd, "doc_id", "text").isEmpty()
 
+def _commented(text, mark):
+    return "\n".join(f"{mark} {line}".rstrip() for line in text.split("\n"))
+
+
+def test_licences_wrapped_commented_and_within(spark):
+    said = licences.SENTENCES | licences.MORE_SENTENCES
+    wrap = lambda *ids: "\n\n".join(textwrap.fill(said[i].capitalize() + ".", 76) for i in ids)
+    mit = wrap("mit-grant", "mit-notice", "as-is")
+    bsd = (
+        textwrap.fill(said["bsd-use"].capitalize() + ":", 60)
+        + "".join(
+            f"\n\n{n}. " + textwrap.fill(said[i].capitalize() + ".", 60, subsequent_indent="   ")
+            for n, i in enumerate(("bsd-source", "bsd-binary"), 1)
+        )
+    )
+    apache = (
+        'Licensed under the Apache License, Version 2.0 (the "License");\n'
+        "you may not use this file except in compliance with the License.\n"
+        "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n"
+    )
+    texts = {
+        1: (mit, ["MIT 0 3"]),
+        2: (_commented(mit, " *"), ["MIT 0 3"]),
+        3: (apache, ["Apache-2.0 4 3"]),
+        4: (_commented(apache, "#"), ["Apache-2.0 4 3"]),
+        5: (" ".join(apache.split()), ["Apache-2.0 4 3"]),
+        6: ("This project is released under the MIT License.", ["MIT 9 1"]),
+        7: (bsd + "\n\n3. Neither the name of Acme Inc. nor the names of", ["BSD-3-Clause 22 4"]),
+        8: (bsd, ["BSD-2-Clause 3 3"]),
+        9: ("// SPDX-License-Identifier: GPL-2.0-or-later", ["GPL-2.0-or-later"]),
+        10: ("# SPDX-License-Identifier: GPL-2.0+", ["GPL-2.0-or-later"]),
+        11: ("/* SPDX-License-Identifier: GPL-2.0 */", ["GPL-2.0-only"]),
+        12: ("-- SPDX-License-Identifier: MIT-0\n-- x", ["MIT-0"]),
+        13: (wrap("gpl2-free"), ["GPL-2.0-or-later"]),
+        14: (_commented(wrap("agpl3-free"), "dnl"), ["AGPL-3.0-or-later"]),
+        15: (wrap("lgpl3-free"), ["LGPL-3.0-or-later"]),
+        16: ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If", ["MPL-2.0"]),
+        17: ("I want all. Rights reserved. Released under\n\nthe MIT license. All rights\n#\n# reserved", []),
+        18: ("released under the\nMIT license and all rights reserved", ["MIT 9 1", "all-rights-reserved 21 1"]),
+        19: (wrap("isc-grant") + "\n" + wrap("cc0"), ["ISC", "CC0-1.0"]),
+        20: (wrap("gpl-free", "gpl-hope"), ["GPL-3.0-or-later 6 2"]),
+    }
+    rows = [(i, t) for i, (t, _) in texts.items()] * 2
+    got = licences.scan(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()
+    for i, (_, want) in texts.items():
+        found = sorted(f"{r.licence} {r.rule} {r.n_sentences}" for r in got if r.doc_id == i)
+        want = sorted(want)
+        assert len(found) == len(want), (i, found)
+        assert all(f == w or f.rsplit(" ", 2)[0] == w for f, w in zip(found, want, strict=True)), (i, found)
+
 
 def test_quotes(spark):
     rows = [
