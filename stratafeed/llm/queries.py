@@ -214,6 +214,12 @@ def op6_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edits.edited(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+@query()
+def op6_near_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return edits.near_pairs(edits.fingerprint(docs, "doc_id", "text"), "doc_id")
+
+
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 

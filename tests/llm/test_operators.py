@@ -284,6 +284,38 @@ def test_likeness_follows_edits(spark):
     pairs = edits.near_pairs(spark.createDataFrame(rows, "k long, fingerprint string"), "k")
     assert {(r.a, r.b) for r in pairs.collect()} == {(0, 1), (0, 4)}
 
+def test_near_pairs_against_brute_force(spark):
+    rng = np.random.default_rng(7)
+    letters = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8))
+    walker, texts = edits.Walker(), []
+    for size in (60, 300, 1000, 2040, 5000) * 6:
+        base, cut = letters(size), size // 8
+        start = letters(cut) + base[cut:]
+        middle = base[: size // 2] + letters(cut) + base[size // 2 + cut :]
+        texts += [base, start, middle, base[:-cut] + letters(cut), base + b"more", base]
+    prints = edits.fingerprints(texts, walker)
+    near = {
+        (i, j)
+        for j, y in enumerate(prints)
+        for i, x in enumerate(prints[:j])
+        if edits.likeness(x, y, walker) >= 0.8
+    }
+    df = spark.createDataFrame([(i, p.text()) for i, p in enumerate(prints)], "k long, fingerprint string")
+
+    def roots(pairs):
+        root = list(range(len(prints)))
+        for a, b in pairs:
+            x, y = sorted((root[a], root[b]))
+            root = [x if r == y else r for r in root]
+        return root
+
+    got = {(r.a, r.b) for r in edits.near_pairs(df, "k").collect()}
+    assert got <= near and roots(got) == roots(near)
+    # In wide bands of one position, pivots are mostly unrelated to the others.
+    got = {(r.a, r.b) for r in edits.near_pairs(df, "k", bands=3, per_band=1).collect()}
+    lost = sum(x != y for x, y in zip(roots(got), roots(near), strict=True))
+    assert got <= near and lost <= 0.05 * len(prints)
+
 
 def test_licences(spark, odd):
     mit = ". ".join(licences.SENTENCES[s] for s in ("mit-grant", "mit-notice", "as-is")) + "."
