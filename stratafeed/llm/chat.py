@@ -82,18 +82,46 @@ def _plain(line: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(line, r"[\s>]+", " ")))
 
 
+_MARKS = r"[^\p{L}\p{N}]+"
+_END = r"(?<=[.!?])\s+"
+_WINDOW = 3
+
+
 def _units(lines: Column) -> Column:
-    """Normalised texts to find a passage by: the whole of it, and each of its lines."""
+    """Normalised texts to find a passage by: the whole of it, its paragraphs (lines
+    between blank ones, joined), their sentences, and its lines."""
 
     def of(each: Column) -> Column:
+        # Blank lines are empty by now; the rest of the text has no line breaks.
+        marked = F.transform(each, lambda x: F.when(x == "", "\n").otherwise(x))
+        joined = F.regexp_replace(F.array_join(marked, " "), r" +", " ")
+        paragraphs = F.transform(F.split(joined, r"\s*\n\s*"), F.trim)
+        sentences = F.flatten(F.transform(paragraphs, lambda x: F.split(x, _END)))
         whole = F.trim(F.regexp_replace(F.array_join(each, " "), r" +", " "))
-        return F.array_distinct(
-            F.filter(F.concat(F.array(whole), each), lambda x: x != F.lit(""))
-        )
+        parts = F.concat(F.array(whole), paragraphs, F.transform(sentences, F.trim), each)
+        return F.array_distinct(F.filter(parts, lambda x: x != F.lit("")))
 
     return _let(F.transform(lines, _plain), of)
 
 
+def _words(lines: Column) -> Column:
+    """The words of a passage, one space apart, without any marks."""
+    return F.trim(F.regexp_replace(F.array_join(F.transform(lines, _plain), " "), _MARKS, " "))
+
+
+def _window_keys(words: Column) -> Column:
+    """Hashes of all windows of ``_WINDOW`` words."""
+    return F.array_distinct(
+        _let(
+            F.split(words, " "),
+            lambda w: F.transform(
+                F.filter(F.sequence(F.lit(0), F.size(w)), lambda i: i + _WINDOW <= F.size(w)),
+                lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, _WINDOW), " ")),
+            ),
+        )
+    )
+
+
 def link_quotes(df: DataFrame, conversation: str, turn: str, role: str, text: str) -> DataFrame:
     """One row per message, without its quotations and in reply order.
 
@@ -105,8 +133,10 @@ def link_quotes(df: DataFrame, conversation: str, turn: str, role: str, text: st
     messages of a thread in the order of their turns, so that replies follow what they
     reply to.
 
-    A passage comes from the latest earlier message that says all of it, or else from
-    that which says its longest line found. Rows equal in all four columns are one
+    A passage comes from the latest earlier message that says all of it as a text,
+    paragraph, sentence or line of its own, or else from the latest that says all its
+    words (three at least) in a row, or else from that which says its longest paragraph,
+    sentence or line found. Rows equal in all four columns are one
     message. Different messages with one turn are ordered by role and text, and a
     quotation of either is linked to the later one of them; they do not quote each
     other. Null texts are empty messages; null conversations form one conversation; null
@@ -133,7 +163,11 @@ def link_quotes(df: DataFrame, conversation: str, turn: str, role: str, text: st
             ),
             "quoted": F.transform(
                 F.filter("passages", lambda p: p["level"] > 0),
-                lambda p: F.struct(p["level"].alias("level"), _units(p["lines"]).alias("units")),
+                lambda p: F.struct(
+                    p["level"].alias("level"),
+                    _units(p["lines"]).alias("units"),
+                    _words(p["lines"]).alias("words"),
+                ),
             ),
         }
     )
@@ -149,6 +183,7 @@ def link_quotes(df: DataFrame, conversation: str, turn: str, role: str, text: st
             "digest",
             F.trim(F.array_join(F.flatten("own"), "\n")).alias("body"),
             F.array_distinct(F.concat(_units(F.flatten("own")), parts)).alias("said"),
+            _words(F.flatten("own")).alias("words"),
             F.filter("quoted", lambda q: F.size(q["units"]) > 0).alias("quoted"),
         ),
         "messages",
@@ -210,16 +245,25 @@ def _replies(messages: DataFrame) -> DataFrame:
     Quotations and what was said meet by conversation and hash; a running maximum over
     the turns finds the latest earlier source, without pairs.
     """
-    said = messages.select(
-        "conv", "turn", "digest", F.explode("said").alias("unit"), F.lit(1).alias("kind"),
-        F.lit(-1).alias("passage"), F.lit(0).alias("level"),
+    said = messages.select("conv", "turn", "digest", F.explode("said").alias("unit"))
+    said = said.unionByName(_contained(messages)).select(
+        "conv", "turn", "digest", "unit", F.lit(1).alias("kind"),
+        F.lit(-1).alias("passage"), F.lit(0).alias("level"), F.lit(0.0).alias("size"),
     )
+    # Words in a row come after the whole passage, and before parts of it.
+    units = F.transform(
+        "q.units", lambda u: F.struct(u.alias("unit"), F.length(u).cast("double").alias("size"))
+    )
+    words = F.struct(
+        _told_words(F.col("q.words")).alias("unit"),
+        (F.length(F.get("q.units", 0)) - F.lit(0.5)).cast("double").alias("size"),
+    )
     asked = messages.select(
         "conv", "turn", "digest", F.posexplode("quoted").alias("passage", "q")
     ).select(
-        "conv", "turn", "digest", F.explode("q.units").alias("unit"), F.lit(0).alias("kind"),
-        "passage", "q.level",
-    )
+        "conv", "turn", "digest", F.explode(F.concat(units, F.array(words))).alias("u"),
+        F.lit(0).alias("kind"), "passage", "q.level",
+    ).select("conv", "turn", "digest", "u.unit", "kind", "passage", "level", "u.size")
     both = said.unionByName(asked).withColumn("key", F.xxhash64("unit"))
     before = (
         Window.partitionBy("conv", "key")
@@ -230,7 +274,6 @@ def _replies(messages: DataFrame) -> DataFrame:
     found = (
         both.withColumn("source", source)
         .where((F.col("kind") == 0) & F.col("source").isNotNull() & (F.col("source.turn") < F.col("turn")))
-        .withColumn("size", F.length("unit"))
     )
     linked = found.groupBy("conv", "turn", "digest", "passage", "level").agg(
         F.max(F.struct("size", "source")).alias("best")
@@ -244,6 +287,52 @@ def _replies(messages: DataFrame) -> DataFrame:
     )
 
 
+def _told_words(words: Column) -> Column:
+    """The unit of words in a row; no text of a message is like it."""
+    return F.concat(F.lit("\n"), words)
+
+
+def _contained(messages: DataFrame) -> DataFrame:
+    """(conv, turn, digest, unit) of messages whose own words hold those of a passage.
+
+    Texts meet by the window of a passage that the fewest texts of the conversation
+    hold, equal texts and equal passages once, and are compared in full. Texts of
+    conversations without passages are not cut into windows.
+    """
+    asked = messages.select("conv", F.explode("quoted.words").alias("part"))
+    asked = asked.where(F.size(F.split("part", " ")) >= _WINDOW).distinct()
+    asked = asked.withColumn("part_id", F.md5("part"))
+    own = messages.select("conv", "turn", "digest", "words", F.md5("words").alias("text_id"))
+    where = asked.select(F.col("conv").alias("c")).distinct()
+    own = own.join(where, F.col("conv").eqNullSafe(F.col("c")), "left_semi")
+    texts = own.select("conv", "text_id", "words").distinct()
+    wanted = asked.select(
+        F.col("conv").alias("c"), "part_id", F.explode(_window_keys(F.col("part"))).alias("k")
+    )
+    windows = texts.select("conv", "text_id", F.explode(_window_keys(F.col("words"))).alias("key"))
+    meet = F.col("conv").eqNullSafe(F.col("c")) & (F.col("key") == F.col("k"))
+    windows = windows.join(wanted.select("c", "k").distinct(), meet, "left_semi")
+    often = windows.groupBy("conv", "key").agg(F.count("*").alias("n"))
+    rarest = (
+        often.join(wanted, meet)
+        .groupBy("c", "part_id")
+        .agg(F.min(F.struct("n", "key"))["key"].alias("k"))
+    )
+    pairs = windows.join(rarest, meet).select(
+        F.col("conv").alias("pair_conv"), F.col("text_id").alias("t"), F.col("part_id").alias("p")
+    )
+    same = F.col("conv").eqNullSafe(F.col("pair_conv"))
+    pairs = pairs.join(texts, same & (F.col("text_id") == F.col("t"))).drop("conv")
+    pairs = pairs.join(asked, same & (F.col("part_id") == F.col("p")))
+    space = F.lit(" ")
+    held = pairs.where(
+        F.contains(F.concat(space, "words", space), F.concat(space, "part", space))
+    ).select(F.col("conv").alias("c"), "t", _told_words(F.col("part")).alias("unit"))
+    return own.join(
+        held, F.col("conv").eqNullSafe(F.col("c")) & (F.col("text_id") == F.col("t"))
+    ).select("conv", "turn", "digest", "unit")
+
+
 def _threads(replies: DataFrame) -> DataFrame:
     """``replies`` with the turn at the start of each chain, by pointer doubling."""
     ends = replies.select(

@@ -411,6 +411,27 @@ def test_quotes(spark):
     texts = {r.c: r.chat for r in chat.conversations(got, "c", "r").collect()}
     assert texts[None] == "user: lost\n\nuser: found"
 
+def test_quotes_of_sentences_paragraphs_and_parts(spark):
+    long = "One two three four\nfive six, seven eight.\n\nThe second paragraph is\nwrapped at a\nfew words here.\n\nEnd."
+    rows = [
+        (1, 0, "u", "The first one. The second sentence. And a third, with more words, is here."),
+        (1, 1, "u", long),
+        (1, 2, "u", "> The second sentence.\nYes"),
+        (1, 3, "u", "> The second paragraph is wrapped\n> at a few words here.\nNo"),
+        (1, 4, "u", "> with more words\nWhich"),
+        (1, 5, "u", "> three four five\n> six seven\nWhy"),
+        (1, 6, "u", "> more wor\nx"),
+        (1, 7, "u", "> words with more\ny"),
+        (None, 0, "u", "alpha beta gamma delta epsilon"),
+        (None, 1, "u", "> beta gamma delta\nz"),
+        (2, 0, "u", "> with more words\nelsewhere"),
+    ]
+    df = spark.createDataFrame(rows, "c long, t long, r string, x string")
+    got = {(r.c, r.t): r for r in chat.link_quotes(df, "c", "t", "r", "x").collect()}
+    assert [got[1, t].reply_to for t in range(8)] == [None, None, 0, 1, 0, 1, None, None]
+    assert [got[1, t].n_linked for t in range(2, 8)] == [1, 1, 1, 1, 0, 0]
+    assert got[None, 1].reply_to == 0 and got[2, 0].reply_to is None
+
 
 def test_mixing(spark):
     rng = np.random.default_rng(5)
