@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    blocks,
     byte_gru,
     chat,
     edits,
     licences,
+    middles,
     mixing,
     overlap,
     passages,
     pieces,
+    resample,
     rules,
     shards,
 )
@@ -247,3 +250,115 @@ def op7_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     return chat.link_quotes(turns, "conv_id", "turn", "role", "text")
+
+
+@query()
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return blocks.extract(pages, "html").select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
+@query(r"""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''),
+                   '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+               sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS draw
+        FROM documents
+    ), h AS (
+        SELECT doc_id, text, units, len(units)::BIGINT AS n,
+               [('0x' || substr(draw, 8 * i + 1, 8))::BIGINT FOR i IN range(4)] AS h
+        FROM d
+    ), c AS (
+        SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a,
+               greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+               CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                         OR contains(text, '<M>') OR h[3] % 100 >= 50 THEN 'plain'
+                    WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+        FROM h
+    ), p AS (
+        SELECT doc_id, text, n, form,
+               coalesce(array_to_string(units[1:a], ''), '') AS prefix,
+               coalesce(array_to_string(units[a + 1:b], ''), '') AS middle,
+               coalesce(array_to_string(units[b + 1:], ''), '') AS suffix
+        FROM c
+    )
+    SELECT doc_id, n, form,
+           CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+           sha256(CASE form
+               WHEN 'plain' THEN text
+               WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+               ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END)
+               AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM p
+""")
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = middles.transform(docs, "doc_id", "text")
+    output, form = F.col("fim.output"), F.col("fim.form")
+    return cut.select(
+        "doc_id",
+        *[F.col(f"fim.{c}") for c in ("n", "form", "prefix_chars", "middle_chars")],
+        F.sha2(output, 256).alias("output_sha256"),
+        F.sha2(middles.restored(output, form), 256).alias("restored_sha256"),
+    )
+
+
+@query(r"""
+    WITH byte_table AS (
+        SELECT list(list_reduce(list_prepend(b, range(8)),
+                    lambda c, i: xor(c // 2, (c % 2) * 3988292384)) ORDER BY b) AS t
+        FROM range(256) r(b)
+    ), texts AS (
+        SELECT doc_id, 's' AS side, text FROM documents
+        UNION ALL SELECT NULL, 't', text FROM benchmark
+    ), words AS (
+        SELECT doc_id, side, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM texts
+    ), each AS (
+        SELECT doc_id, side, unnest(words) AS word FROM words
+    ), crcs AS (
+        SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295,
+                   [('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::BIGINT
+                    FOR i IN range(octet_length(encode(word)))]),
+                   lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1]))) % 10000 AS bucket
+        FROM (SELECT DISTINCT word FROM each), byte_table
+    ), counts AS (
+        SELECT bucket, count(*) FILTER (side = 's') AS s, count(*) FILTER (side = 't') AS t
+        FROM each JOIN crcs USING (word) GROUP BY bucket
+    ), gains AS (
+        SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)
+                   / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)))) AS gain
+        FROM counts
+    ), weights AS (
+        SELECT doc_id, count(*) AS n, floor(sum(gain) / count(*)) AS weight
+        FROM each JOIN crcs USING (word) JOIN gains USING (bucket)
+        WHERE side = 's' GROUP BY doc_id
+    ), scored AS (
+        SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_features,
+               coalesce(weight, 0)::BIGINT AS weight,
+               coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((
+                   ('0x' || substr(sha256('2024:' || w.doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE)
+                   / 4294967296.0::DOUBLE)))::BIGINT AS score
+        FROM words w LEFT JOIN weights USING (doc_id) WHERE w.side = 's'
+    ), ranked AS (
+        SELECT *, n_features >= 20 AS fit,
+               row_number() OVER (PARTITION BY n_features >= 20
+                                  ORDER BY score DESC, doc_id) AS place,
+               count(*) FILTER (n_features >= 20) OVER () AS n
+        FROM scored
+    )
+    SELECT doc_id, n_features, weight, score,
+           CASE WHEN fit AND place <= 10 * n // 100 THEN place END::BIGINT AS rank
+    FROM ranked
+""")
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return resample.resample(docs, benchmark, "doc_id", "text", "text")
