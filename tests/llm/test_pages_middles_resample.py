@@ -1,0 +1,260 @@
+"""Main text of pages, fill-in-middle and importance resampling."""
+
+from __future__ import annotations
+
+import hashlib
+import html
+import math
+import re
+import zlib
+from collections import Counter
+from pathlib import Path
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from stratafeed.llm import blocks, middles, resample
+
+from .conftest import ODD
+
+SF_DIR = "/root/testdata/sf0.001"
+PROSE = (
+    "The council met on Monday and it was clear that the plan for the bridge had been"
+    " changed again, as the members of the board were not sure who would pay for it."
+)
+CLUTTER = """
+<header class="site-header"><h2>The daily and the weekly of the town</h2></header>
+<nav><ul><li><a href="/a">News of the day</a><li><a href="/b">Sport and more</a></ul></nav>
+<div class="cookie-notice">We use cookies so that we can show you what you want to see.</div>
+<div class="ad">This is the best of all the offers that you will see in this week.</div>
+"""
+AFTER = """
+<aside class="sidebar"><p>This is what the others have read on our site in this week.</p></aside>
+<section id="comments"><article class="comment"><p>I was there and it was not as they say it is.
+</p></article></section>
+<form action="/s"><label>Sign up for the letter that we send to all of our readers</label></form>
+<footer>&copy; 2024 The daily of the town, and all rights are with it.</footer>
+"""
+
+
+def page(body: str) -> str:
+    return f"<!DOCTYPE html><html><head><title>T &amp; t</title></head><body>{body}</body></html>"
+
+
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<main>{}</main>", "<div>{}</div>"])
+def test_clutter_goes_and_all_of_the_article_stays(around):
+    article = (
+        f"<h1>A bridge</h1><script>var t='</p>';</script><p>{PROSE}<br>{PROSE}<p>Yes.</p>"
+        f"<p>A <b>bold</b>ly <i>set</i>&nbsp;word &lt;p&gt; &eacute;</p><p>{PROSE}</p>"
+    )
+    whole = page(CLUTTER + around.format(article) + AFTER)
+    expected = f"A bridge {PROSE} {PROSE} Yes. A boldly set word <p> é {PROSE}"
+    assert blocks.main_text(whole) == expected
+    # Cut off behind the article, and with nothing closed around it.
+    assert blocks.main_text(whole[: whole.index("<aside")]) == expected
+    if "div" not in around:
+        assert blocks.main_text(whole.replace("</nav>", "")) == expected
+        assert blocks.main_text(whole.replace("</article>", "").replace("</main>", "")) == expected
+
+
+def test_blocks_inside_an_article_that_are_none_of_it():
+    inner = (
+        f"<h1><a href=/>A linked title</a></h1><p>{PROSE}</p><div id=ad-1>Buy it of us.</div>"
+        f"<ul class='share'><li><a href=/x>Tell all of them</a></ul><p>So be it.</p>"
+        f"<p hidden>Not shown of it.</p><p style='display: none'>Nor is this.</p>"
+        f"<p>Read <a href=/m>all the other news of the day and of the week</a></p><p>{PROSE}</p>"
+    )
+    got = blocks.main_text(page(f"<article class='post has-sidebar'>{inner}</article>"))
+    assert got == f"A linked title {PROSE} So be it. {PROSE}"
+
+
+def test_first_and_second_pass():
+    rules = blocks.Rules(short=10, long=60, stop_high=0.5, stop_low=0.2, stop_words=frozenset(["of"]))
+    texts = {"of of of of": True, "x" * 70: False, "a of b of c": None, "of": None}
+    texts |= {"nothing like it in here": None, "so much of " * 6 + "that": True}
+    found = [blocks.Block(t, 0, False, 0, False) for t in texts]
+    blocks.first_pass(found, rules)
+    assert [b.label for b in found] == list(texts.values())
+
+    def labelled(labels, region=0, headings=()):
+        own = [
+            blocks.Block("x" * 9, 0, i in headings, region, False, {"+": True, "-": False}.get(c))
+            for i, c in enumerate(labels)
+        ]
+        blocks.second_pass(own)
+        return "".join("+" if b.label else "-" for b in own)
+
+    assert labelled("?+??-?") == "+++---"
+    assert labelled("+?-") == "+--"
+    assert labelled("+?+ -?-".replace(" ", "")) == "+++---"
+    assert labelled("-?+", headings=[1]) == "-++"
+    assert labelled("???") == "---" and labelled("???", region=1) == "+++"
+    assert labelled("-?+-?-", region=1) == "-++---"
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="<>/!-\"'= apdivscriptb&;éx\n", max_size=80))
+def test_any_markup_is_read(text):
+    got = blocks.main_text(text)
+    assert got == " ".join(got.split())
+
+
+def test_pages_agree_with_a_plain_reading(spark):
+    """The given pages name their article; its blocks, with tags stripped, are the text."""
+    if not Path(SF_DIR).exists():
+        pytest.skip("no test data")
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    for row in blocks.extract(pages, "html").collect():
+        article = re.search(r"<article>(.*?)</article>", row.html, re.S)[1]
+        parts = re.split(r"</?(?:p|h1)>", article.replace("<br>", " "))
+        texts = (" ".join(html.unescape(re.sub(r"</?b>", "", p)).split()) for p in parts)
+        assert row.text == " ".join(t for t in texts if t)
+
+
+def test_odd_pages(spark, odd, none):
+    got = blocks.extract(odd.withColumn("html", F.col("text")), "html").orderBy("doc_id").collect()
+    assert len(got) == len(ODD) and all(r.text is not None for r in got)
+    assert {r.text for r in got if not (r.html or "").strip()} == {""}
+    long = page("<article>" + f"<p>{PROSE}</p>" * 5000 + "</article>")
+    assert blocks.main_text(long) == " ".join([PROSE] * 5000)
+    empty = blocks.extract(none.withColumn("html", F.col("text")), "html")
+    assert empty.count() == 0 and empty.columns.count("text") == 1
+    with pytest.raises(ValueError):
+        blocks.extract(odd, "text")
+
+
+def plain_middle(key, text, rate=50, spm=80):
+    """The transformation, unit by unit."""
+    units = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", text)
+    digest = hashlib.sha256(f"42:{'' if key is None else key}".encode()).hexdigest()
+    h = [int(digest[i : i + 8], 16) for i in range(0, 32, 8)]
+    n = len(units)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= rate:
+        return n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    p, m, s = ("".join(x) for x in (units[:a], units[a:b], units[b:]))
+    if h[3] % 100 < spm:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def test_middles_agree_with_a_plain_form(spark, odd, none):
+    more = [(100 + i, f"{' ' * (i % 3)}a{i}  b\n\nc<P" + " 🎉é\t" * i + "x" * (i % 5)) for i in range(60)]
+    more += [(300, "a <S> b"), (301, "word " * 300_000), (302, "z" * 400_000), (303, " " * 100_000)]
+    rows = odd.select("doc_id", "text").unionByName(
+        spark.createDataFrame(more, "doc_id long, text string")
+    )
+    both = middles.transform(rows, "doc_id", "text")
+    back = both.withColumn("back", middles.restored(F.col("fim.output"), F.col("fim.form")))
+    got = back.collect()
+    assert len(got) == len(ODD) + len(more)
+    for r in got:
+        assert tuple(r.fim) == plain_middle(r.doc_id, r.text or "")
+        assert r.back == (r.text or "")
+    assert {r.fim.form for r in got} == {"plain", "spm", "psm"}
+    clash = middles.transform(odd, "doc_id", "text", column="node")
+    assert clash.columns == [*[c for c in odd.columns if c != "node"], "node"]
+    assert middles.transform(none, "doc_id", "text").count() == 0
+
+
+def test_middles_rates(spark):
+    rows = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("a b c d").alias("text"))
+    forms = Counter(r.fim.form for r in middles.transform(rows, "doc_id", "text", 100, 0).collect())
+    assert forms == {"psm": 400}
+    forms = Counter(r.fim.form for r in middles.transform(rows, "doc_id", "text").collect())
+    assert 150 < forms["plain"] < 250 and forms["spm"] > 2 * forms["psm"]
+
+
+def test_a_unit_that_leaves_gaps_is_refused():
+    with pytest.raises(ValueError):
+        middles.Cutter(r"\w", 50, 80, middles.Markers())("a b", "0" * 64)
+
+
+def plain_words(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def plain_grams(text, most):
+    words = plain_words(text)
+    return [
+        " ".join(words[i : i + k])
+        for k in range(1, most + 1)
+        for i in range(len(words) - k + 1)
+    ]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=60), st.integers(1, 4))
+def test_crcs_from_prefixes(text, most):
+    raw = text.encode("utf-8", "replace")
+    n, found = resample.Scanner(most, 1 << 31)(raw)
+    grams = plain_grams(raw.decode(), most)
+    assert n == len(plain_words(raw.decode()))
+    assert found.tolist() == [
+        int(np.int32(zlib.crc32(g.encode()) % (1 << 31))) for g in grams
+    ]
+
+
+def test_shift_of_long_strings():
+    a, b = b"some bytes", bytes(range(256)) * 300
+    moved = resample.Shift()(np.array([zlib.crc32(a)], np.uint32), np.array([len(b)]))
+    assert int(moved[0]) ^ zlib.crc32(b) == zlib.crc32(a + b)
+
+
+def plain_resample(docs, target, most, percent, least, buckets=10_000):
+    bucket = lambda g: zlib.crc32(g.encode()) % buckets
+    own = [[bucket(g) for g in plain_grams(t, most)] for _, t in docs]
+    s = Counter(b for x in own for b in x)
+    t = Counter(bucket(g) for x in target for g in plain_grams(x, most))
+    s_all, t_all = sum(s.values()) + buckets, sum(t.values()) + buckets
+    gain = lambda b: math.floor(1000 * math.log((t[b] + 1) * s_all / ((s[b] + 1) * t_all)))
+    out = []
+    for (key, text), x in zip(docs, own, strict=True):
+        weight = sum(map(gain, x)) // len(x) if x else 0
+        digest = hashlib.sha256(f"2024:{'' if key is None else key}".encode()).hexdigest()
+        h = int(digest[:8], 16)
+        noise = math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([key, len(x), weight, weight + noise, None, len(plain_words(text))])
+    fit = sorted(
+        (r for r in out if r[5] >= least), key=lambda r: (-r[3], r[0] is not None, r[0] or 0, r[1])
+    )
+    for i, r in enumerate(fit[: percent * len(fit) // 100]):
+        r[4] = i + 1
+    return Counter(tuple(r[:5]) for r in out)
+
+
+@pytest.mark.parametrize(("most", "percent", "least"), [(1, 10, 20), (3, 60, 2), (2, 100, 0)])
+def test_resample_agrees_with_a_plain_form(spark, odd, none, most, percent, least):
+    made = [(100 + i, " ".join(f"w{i * j % 37}" for j in range(i % 50))) for i in range(150)]
+    rows = odd.select("doc_id", "text").unionByName(
+        spark.createDataFrame(made, "doc_id long, text string")
+    )
+    target = ["word1 goes1 w1 w2 w3", None, "", "w5 W5 über"]
+    wanted = spark.createDataFrame([(t,) for t in target], "t string")
+    got = resample.resample(rows, wanted, "doc_id", "text", "t", percent, least, most).collect()
+    docs = [(r.doc_id, r.text) for r in rows.collect()]
+    assert Counter(map(tuple, got)) == plain_resample(docs, target, most, percent, least)
+
+
+def test_resample_without_rows(spark, odd, none):
+    wanted = none.select("text")
+    assert resample.resample(none, wanted, "doc_id", "text", "text").count() == 0
+    assert resample.resample(odd, wanted, "doc_id", "text", "text").count() == len(ODD)
+
+
+def test_many_rows_of_one_score(spark):
+    """Rows with one score are ranked by key; ranks have no gaps over many tasks."""
+    rows = spark.range(3000).select(
+        F.col("id").alias("__key"),
+        F.lit(25).cast("long").alias("n_words"),
+        F.lit(25).cast("long").alias("n_features"),
+        (F.col("id") % 3).alias("score"),
+    )
+    ranked = resample._ranked(rows, F.col("n_words") >= 20, 50)
+    drawn = {r["rank"]: (-r["score"], r["__key"]) for r in ranked.collect() if r["rank"]}
+    assert sorted(drawn) == list(range(1, 1501))
+    assert [drawn[i] for i in range(1, 1501)] == sorted(drawn.values())
