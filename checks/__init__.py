@@ -4,6 +4,7 @@ from . import (  # noqa: F401
     days,
     feed,
     files,
+    increments,
     keyed,
     nested,
     pipeline,

@@ -184,6 +184,50 @@ def frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(days.frontier(_landing(spark, sf_dir), DAY))
 
 
+def _malformed(orders: DataFrame) -> DataFrame:
+    """Days as text, but for urgent orders, whose texts are no days and sort around them."""
+    kind = F.col("o_orderkey") % 4
+    broken = F.when(kind == 0, "n/a").when(kind == 1, "").when(kind == 2, "1899").otherwise("9999-99-99")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    return orders.withColumn(DAY, F.when(urgent, broken).otherwise(iso_text(DAY)))
+
+
+_CALM = "(SELECT * FROM orders WHERE o_orderpriority <> '1-URGENT')"
+
+
+@check(f"""
+    SELECT o_orderkey, o_totalprice FROM {_CALM}
+    WHERE o_orderdate::DATE > (SELECT max(o_orderdate::DATE) FROM {_CALM}
+                               WHERE o_orderdate < DATE '1998-06-15')
+      AND o_orderdate::DATE <= DATE '1998-06-20' + 1
+""")
+def days_new_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that are no days, in the feed and in what is stored of it."""
+    landing, stored = _malformed(_landing(spark, sf_dir)), _malformed(_stored(spark, sf_dir))
+    found = days.select_rows(landing, stored, "new", DAY, TODAY)
+    return found.select("o_orderkey", "o_totalprice")
+
+
+@check(f"""
+    SELECT min(o_orderdate)::DATE::VARCHAR AS min_day,
+           max(o_orderdate)::DATE::VARCHAR AS max_day
+    FROM {_CALM}
+""")
+def frontier_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_text(days.frontier(_malformed(_landing(spark, sf_dir)), DAY))
+
+
+@check(f"""
+    SELECT d::DATE::VARCHAR AS day
+    FROM (SELECT unnest(generate_series(min(o_orderdate)::DATE::TIMESTAMP,
+                                        max(o_orderdate)::DATE::TIMESTAMP,
+                                        INTERVAL 1 DAY)) AS d FROM {_CALM})
+    WHERE d::DATE NOT IN (SELECT o_orderdate::DATE FROM {_CALM})
+""")
+def calendar_gaps_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_text(days.calendar_gaps(_malformed(_landing(spark, sf_dir)), DAY))
+
+
 @check("""
     SELECT d::DATE::VARCHAR AS day
     FROM (SELECT unnest(generate_series(min(o_orderdate)::DATE::TIMESTAMP,

@@ -77,7 +77,7 @@ def _refreshed(
 ) -> layers.Lake:
     root = new_folder(spark, name)
     lake, inbox = layers.Lake(f"{root}/lake"), f"{root}/inbox"
-    files.append_json(_matches(spark, sf_dir), f"{root}/landing")
+    files.append_json(match_rows(spark, sf_dir), f"{root}/landing")
     files.write_documents(_payloads(spark, sf_dir), inbox)
     landing = files.read_json(spark, f"{root}/landing", MATCH_SCHEMA)
     # The landing of the last increment is run a second time, which must change nothing.
@@ -93,7 +93,7 @@ def _refreshed(
     return lake
 
 
-def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def match_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_format("o_orderdate", ISO)
     one = F.lit(1)
     return table(spark, sf_dir, "orders").select(

@@ -87,13 +87,19 @@ def find_range(
 ) -> tuple[dt.date, dt.date] | None:
     """The range ``[lo, hi)`` of ``select_rows`` as two dates, for several uses of it.
 
-    None if there is no day to load.
+    None if there is no day to load. The day column of the landing feed is read once:
+    its distinct days are kept while the ends are found among them.
     """
-    bounds = _bounds(landing, stored, mode, day, today, d1, d2)
-    if isinstance(bounds.lo, dt.date):
+    if mode in (Mode.DATE, Mode.RANGE):
+        bounds = _bounds(landing, stored, mode, day, today, d1, d2)
         return bounds.lo, bounds.hi
-    ends = {"lo": _end(bounds.lo, T.DateType()), "hi": _end(bounds.hi, T.DateType())}
-    row = landing.sparkSession.range(1).select(*[c.alias(n) for n, c in ends.items()]).first()
+    listed = landing.select(day_of(landing, day).alias(day)).distinct().persist()
+    try:
+        bounds = _bounds(listed, stored, mode, day, today)
+        lo, hi = (_end(end, T.DateType()) for end in (bounds.lo, bounds.hi))
+        row = landing.sparkSession.range(1).select(lo.alias("lo"), hi.alias("hi")).first()
+    finally:
+        listed.unpersist()
     return None if row.lo is None or row.hi is None else (row.lo, row.hi)
 
 
@@ -108,8 +114,8 @@ def _bounds(
     mode: str,
     day: str,
     today: dt.date | None,
-    d1: str | dt.date | None,
-    d2: str | dt.date | None,
+    d1: str | dt.date | None = None,
+    d2: str | dt.date | None = None,
 ) -> _Bounds:
     match Mode(mode):
         case Mode.NEW:
@@ -126,8 +132,24 @@ def _bounds(
             return _Bounds(first, _next(last))
 
 
+def day_of(df: DataFrame, day: str) -> Column:
+    """The day of a row; null for text that does not begin with one."""
+    column = F.col(day)
+    if isinstance(df.schema[day].dataType, T.StringType):
+        column = F.when(column.rlike(ISO_START), column)
+    return as_day(column)
+
+
 def frontier(df: DataFrame, day: str) -> DataFrame:
-    """Oldest and newest day, as one row ``(min_day, max_day)``."""
+    """Oldest and newest day, as one row ``(min_day, max_day)``.
+
+    Texts are parsed before they are compared, so one that is no day never stands for
+    the oldest or newest. Typed days are compared as they are stored, which a reader
+    may answer from the statistics of its files.
+    """
+    if isinstance(df.schema[day].dataType, T.StringType):
+        own = day_of(df, day)
+        return df.agg(F.min(own).alias("min_day"), F.max(own).alias("max_day"))
     return df.agg(
         as_day(F.min(day)).alias("min_day"), as_day(F.max(day)).alias("max_day")
     )
@@ -138,7 +160,7 @@ def calendar_gaps(df: DataFrame, day: str) -> DataFrame:
     calendar = frontier(df, day).select(
         F.explode(F.sequence("min_day", "max_day")).alias("day")
     )
-    present = df.select(as_day(F.col(day)).alias("day")).distinct()
+    present = df.select(day_of(df, day).alias("day")).distinct()
     return calendar.join(present, "day", "left_anti")
 
 

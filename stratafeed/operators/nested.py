@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# What a map row takes from its match.
+GAME_FIELDS = ("GameId", "TeamAName", "TeamBName", "TeamAKey", "TeamBKey")
+#: Kinds of the rows of ``flatten_details``, and the columns that hold them.
+MAP, ENTRY = "map", "entry"
+
 
 def explode_children(
     df: DataFrame,
@@ -41,16 +46,53 @@ def explode_children(
     )
 
 
+def flatten_details(payloads: DataFrame) -> DataFrame:
+    """Map rows and player rows of every payload in one pass over it.
+
+    Each row is a map or a player's entry, told apart by ``kind``: ``map`` holds what
+    ``flatten_maps`` gives and is null for entries, ``entry`` what
+    ``flatten_leaderboards`` gives and is null for maps. Written by ``kind``, each
+    folder can be read as a table of its own.
+    """
+    game, empty = F.col("Game"), F.array()
+    of_game = [game.getField(n).alias(n) for n in GAME_FIELDS]
+    element = payloads.select("Maps").schema[0].dataType.elementType
+    own = [f.name for f in element if not isinstance(f.dataType, T.ArrayType)]
+    entry_type = element["Leaderboards"].dataType.elementType
+
+    def map_row(m: Column) -> Column:
+        return F.struct(*[m.getField(f).alias(f) for f in own], *of_game)
+
+    def entry_row(m: Column, e: Column) -> Column:
+        fields = [e.getField(f.name).alias(f.name) for f in entry_type]
+        return F.struct(*fields, m.getField("Name").alias("MapName"))
+
+    maps = F.transform("Maps", map_row)
+    entries = F.flatten(
+        F.transform(
+            "Maps",
+            lambda m: F.coalesce(
+                F.transform(m.getField("Leaderboards"), lambda e: entry_row(m, e)), empty
+            ),
+        )
+    )
+    arrays = payloads.select(maps.alias("maps"), entries.alias("entries"))
+    map_type, entry_type = (f.dataType.elementType for f in arrays.schema)
+    no_map, no_entry = F.lit(None).cast(map_type), F.lit(None).cast(entry_type)
+    tagged = F.concat(
+        F.transform("maps", lambda m: _tagged(MAP, m, no_entry)),
+        F.transform("entries", lambda e: _tagged(ENTRY, no_map, e)),
+    )
+    return arrays.select(F.explode(tagged).alias("row")).select("row.*")
+
+
+def _tagged(kind: str, of_map: Column, entry: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), of_map.alias(MAP), entry.alias(ENTRY))
+
+
 def flatten_maps(payloads: DataFrame) -> DataFrame:
     """Map rows with the attributes of their match."""
-    return explode_children(
-        payloads,
-        "Maps",
-        {
-            name: f"Game.{name}"
-            for name in ("GameId", "TeamAName", "TeamBName", "TeamAKey", "TeamBKey")
-        },
-    )
+    return explode_children(payloads, "Maps", {name: f"Game.{name}" for name in GAME_FIELDS})
 
 
 def flatten_leaderboards(payloads: DataFrame) -> DataFrame:

@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import as_day
-from ..operators.days import find_range, rows_between
-from ..operators.nested import flatten_leaderboards, flatten_maps
 from ..operators.backlog import pending, without_done
+from ..operators.days import find_range, rows_between
+from ..operators.increments import Measures, of_keys, totals
+from ..operators.nested import ENTRY, MAP, flatten_details
 from ..operators.stats import entity_stats, side_counts
 from ..schemas import (
     LEADERBOARD_SCHEMA,
@@ -34,13 +34,25 @@ from ..schemas import (
     TableSpec,
 )
 from ..sources import catalog, files, keyed
+from ..sources.partials import refresh_partials
 from ..sources.storage import list_folders, remove_folder
-from ..streaming.incremental import drain, run_incremental
-from .sql_tables import refresh_sql_table
-
-_DAY_LOG = T.StructType([T.StructField("Day", T.DateType())])
-#: Payloads with the number of their folder; folders are named ``batch=<number>``.
-_FOLDERS = T.StructType([*PAYLOAD_SCHEMA, T.StructField("batch", T.StringType())])
+from ..streaming.incremental import drain, finish, run_incremental, start, start_incremental
+
+_BATCH = T.StructField("batch", T.StringType())
+#: Payloads, and their ids, with the number of their folder, ``batch=<number>``.
+_FOLDERS = T.StructType([*PAYLOAD_SCHEMA, _BATCH])
+_IDS = T.StructType([T.StructField("GameId", T.IntegerType()), _BATCH])
+#: Kind and schema of the raw rows of the tables that come from payloads.
+_DETAILS = {LEADERBOARDS.name: (ENTRY, LEADERBOARD_SCHEMA), MAPS.name: (MAP, MAP_SCHEMA)}
+_PLAYER_MEASURES = Measures(
+    PLAYERS.keys,
+    "GameId",
+    parts="qtGames",
+    first={"firstMatch": "DateTime"},
+    last={"lastMatch": "DateTime"},
+    means=PLAYER_MEANS,
+)
+_TEAM_MEASURES = Measures(TEAMS.keys, "GameId", rows="matchCount")
 
 
 @dataclass(frozen=True)
@@ -68,21 +80,18 @@ def load_matches(
     d1: str | None = None,
     d2: str | None = None,
 ) -> None:
-    """Append the matches of the selected days to the raw feed.
+    """Put the matches of the selected days into the raw feed, a folder for each day.
 
-    The days that were loaded are logged next to the feed, so that finding out
-    what is stored does not read the feed itself. They are logged last: a run that
-    stops in between is repeated, and the bronze table drops the copies.
+    A day that is loaded again is replaced, so a run may be repeated, whole or after it
+    stopped half way. What is stored is told by the names of the folders; the feed is
+    not read for it.
     """
-    raw, log = lake.raw(MATCHES.name), lake.raw("loaded_days")
-    stored = files.read_if_present(spark, log, _DAY_LOG)
-    today = today or dt.date.today()
-    # The range is found once, as two dates; with nothing to load it is empty.
-    found = find_range(landing, stored, mode, "Day", today, d1, d2) or (today, today)
-    chosen = rows_between(landing, "Day", *found)
-    # Most scan tasks hold few of the chosen rows; rebalancing makes whole files.
-    files.append_json(chosen.hint("rebalance"), raw)
-    files.append_parquet(chosen.select(as_day(F.col("Day")).alias("Day")).distinct(), log)
+    raw = lake.raw(MATCHES.name)
+    stored = files.stored_days(spark, raw, "Day")
+    # The range is found once, as two dates.
+    found = find_range(landing, stored, mode, "Day", today or dt.date.today(), d1, d2)
+    if found is not None:
+        files.overwrite_days(rows_between(landing, "Day", *found), raw, "Day")
 
 
 def refresh_matches(
@@ -121,27 +130,22 @@ def land_details(
     matches = keyed.read_current(spark, lake.bronze(MATCHES), MATCHES)
     known = matches.select(F.col("GameId").alias("known_id"))
     payloads, waiting = lake.raw("payloads"), lake.raw("payloads_waiting")
-    # Ids are read once in a run; to them come those of the folders it writes.
-    before = _landed_ids(spark, lake)
-    before = None if before is None else before.persist()
-    written: list[str] = []
+    ids = lake.raw("payload_ids")
 
     def landed(without: str | None = None) -> DataFrame | None:
-        """Landed ids, without the folder that a repeated batch will replace."""
-        new = [f"{payloads}/batch={own}" for own in written if own != without]
-        ids = None
-        if new:
-            docs = files.read_parquet(spark, new, PAYLOAD_SCHEMA)
-            ids = files.ids_of(docs, "Game.GameId", "GameId")
-        if before is None:
-            return ids
-        old = before.where(F.col("batch") != F.lit(without or "")).select("GameId")
-        return old if ids is None else old.unionByName(ids)
+        """Landed ids, without those of the folder that a repeated batch will replace."""
+        stored = _landed_ids(spark, lake)
+        if stored is None or without is None:
+            return stored
+        return stored.where(F.col("batch") != F.lit(without))
 
     def land(docs: DataFrame, own: str) -> None:
         fresh = files.select_landable(docs, landed(own), "Game.GameId", "GameId")
         fresh.write.mode("overwrite").parquet(f"{payloads}/batch={own}")
-        written.append(own)
+        # The ids come last: without them the folder counts as not written.
+        stored = files.read_parquet(spark, f"{payloads}/batch={own}", PAYLOAD_SCHEMA)
+        of_batch = files.ids_of(stored, "Game.GameId", "GameId")
+        of_batch.write.mode("overwrite").parquet(f"{ids}/batch={own}")
 
     def store(batch: DataFrame, number: int) -> None:
         own = str(number)
@@ -165,18 +169,14 @@ def land_details(
                 "overwrite"
             ).parquet(f"{lake.raw('payloads_rejected')}/batch={own}")
 
-    try:
-        _land_waiting(spark, lake, known, landed, land)
-        schema = files.with_corrupt(PAYLOAD_SCHEMA)
-        stream = files.stream_payloads(spark, inbox, schema, one_per_file, max_files)
-        drain(
-            stream.withColumn("file", F.col("_metadata.file_path")),
-            store,
-            lake.raw("payloads_checkpoint"),
-        )
-    finally:
-        if before is not None:
-            before.unpersist()
+    _land_waiting(spark, lake, known, landed, land)
+    schema = files.with_corrupt(PAYLOAD_SCHEMA)
+    stream = files.stream_payloads(spark, inbox, schema, one_per_file, max_files)
+    drain(
+        stream.withColumn("file", F.col("_metadata.file_path")),
+        store,
+        lake.raw("payloads_checkpoint"),
+    )
 
 
 def _land_waiting(
@@ -202,7 +202,8 @@ def _land_waiting(
     ready = ready.select(F.col("GameId").alias("ready_id")).distinct()
     if not ready.isEmpty():
         chosen = docs.join(ready, F.col("Game.GameId") == F.col("ready_id"), "left_semi")
-        number = len(list_folders(spark, lake.raw("payloads")))
+        # Counted by ids, so that a run that stopped in between is repeated by that name.
+        number = len(list_folders(spark, lake.raw("payload_ids")))
         land(chosen.select(*PAYLOAD_SCHEMA.names), f"late-{number}")
     still = without_done(ids, landed(), ["GameId"]).select("batch").distinct()
     waits = {f"batch={row.batch}" for row in still.collect()}
@@ -219,44 +220,62 @@ def landed_manifest(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def _landed_ids(spark: SparkSession, lake: Lake) -> DataFrame | None:
-    """``GameId`` and ``batch``, its folder, of all landed payloads."""
-    docs = files.read_if_present(spark, lake.raw("payloads"), _FOLDERS)
-    if docs is None:
-        return None
-    return docs.select(F.col("Game.GameId").alias("GameId"), "batch")
+    """``GameId`` and ``batch``, its folder, of all landed payloads.
+
+    They are kept beside the payloads, so that payload files are not opened for them.
+    """
+    return files.read_if_present(spark, lake.raw("payload_ids"), _IDS)
 
 
 def explode_details(
     spark: SparkSession, lake: Lake, max_files: int | None = None
 ) -> None:
-    """Landed payloads to raw player and map rows.
+    """Landed payloads to raw player and map rows, both in one pass over them.
 
     A checkpoint records which payload files are done, so a match without maps is
-    not taken up again. The rows are flattened inside the stream, so that each
-    table reads only its own fields of the payload files.
+    not taken up again. Rows of both kinds are written by one job, to a folder for each.
     """
-    for spec, flatten in ((LEADERBOARDS, flatten_leaderboards), (MAPS, flatten_maps)):
-        payloads = files.stream_parquet(
-            spark, lake.raw("payloads"), PAYLOAD_SCHEMA, max_files
-        )
-        drain(
-            flatten(payloads),
-            partial(_write_batch, lake.raw(spec.name)),
-            lake.raw(f"{spec.name}_checkpoint"),
-        )
-
+    payloads = files.stream_parquet(spark, lake.raw("payloads"), PAYLOAD_SCHEMA, max_files)
 
-def _write_batch(path: str, batch: DataFrame, number: int) -> None:
-    batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+    def store(batch: DataFrame, number: int) -> None:
+        folder = f"{lake.raw('details')}/batch={number}"
+        batch.write.mode("overwrite").partitionBy("kind").parquet(folder)
+
+    drain(flatten_details(payloads), store, lake.raw("details_checkpoint"))
+
+
+def _stream_details(
+    spark: SparkSession, lake: Lake, spec: TableSpec, max_files: int | None = None
+) -> DataFrame:
+    """Raw rows of one of the two tables that come from payloads."""
+    kind, schema = _DETAILS[spec.name]
+    rows = files.stream_parquet(
+        spark,
+        lake.raw("details"),
+        T.StructType([T.StructField(kind, schema)]),
+        max_files,
+        name_glob=f"batch=*/kind={kind}",
+    )
+    return rows.select(f"{kind}.*")
 
 
 def refresh_details(
     spark: SparkSession, lake: Lake, max_files: int | None = None, **options
 ) -> None:
-    """Raw player and map rows to their bronze tables, one stream each."""
-    for spec, schema in ((LEADERBOARDS, LEADERBOARD_SCHEMA), (MAPS, MAP_SCHEMA)):
-        stream = files.stream_parquet(spark, lake.raw(spec.name), schema, max_files)
-        run_incremental(spark, stream, lake.bronze(spec), spec, **options)
+    """Raw player and map rows to their bronze tables, two streams side by side."""
+    timeout = options.pop("timeout", None)
+    queries = [
+        start_incremental(
+            spark,
+            _stream_details(spark, lake, spec, max_files),
+            lake.bronze(spec),
+            spec,
+            pool=spec.name,
+            **options,
+        )
+        for spec in (LEADERBOARDS, MAPS)
+    ]
+    finish(queries, timeout)
 
 
 def publish_bronze(spark: SparkSession, lake: Lake, database: str = "bronze") -> None:
@@ -291,14 +310,72 @@ def team_counts(maps: DataFrame) -> DataFrame:
     )
 
 
-def refresh_silver(spark: SparkSession, lake: Lake, database: str = "silver") -> None:
-    """Recompute the statistics and merge them into the silver tables."""
-    for spec, source, compute in (
-        (PLAYERS, LEADERBOARDS, player_stats),
-        (TEAMS, MAPS, team_counts),
+def refresh_silver(
+    spark: SparkSession,
+    lake: Lake,
+    database: str = "silver",
+    buckets: int = 8,
+    max_files: int | None = None,
+) -> None:
+    """Bring the statistics up to date with the raw rows that came since the last run.
+
+    Only games with new rows are computed again, from their bronze rows, and only the
+    statistics of players or teams that have or had a part in them are merged into the
+    silver tables. Partial rows are kept beside those, in ``buckets`` folders by game, of
+    which only the ones with changed games are read and replaced.
+    """
+    queries = []
+    for spec, source, measures, rows in (
+        (PLAYERS, LEADERBOARDS, _PLAYER_MEASURES, lambda df: df),
+        (TEAMS, MAPS, _TEAM_MEASURES, _sides),
     ):
-        rows = compute(keyed.read_current(spark, lake.bronze(source), source))
-        refresh_sql_table(spark, database, lake.silver(spec), spec, rows)
+        store = partial(_store_stats, spark, lake, spec, source, measures, rows, buckets)
+        queries.append(
+            start(
+                _stream_details(spark, lake, source, max_files).select("GameId"),
+                store,
+                f"{lake.silver(spec)}/_checkpoint",
+                pool=spec.name,
+            )
+        )
+    finish(queries)
+    catalog.ensure_database(spark, database)
+    for spec in (PLAYERS, TEAMS):
+        folder = keyed.compact(spark, lake.silver(spec), spec)
+        if folder is not None:
+            catalog.publish_folder(spark, f"{database}.{spec.name}", folder)
+
+
+def _store_stats(
+    spark: SparkSession,
+    lake: Lake,
+    spec: TableSpec,
+    source: TableSpec,
+    measures: Measures,
+    rows: Callable[[DataFrame], DataFrame],
+    buckets: int,
+    batch: DataFrame,
+    number: int,
+) -> None:
+    """Statistics of what a batch has changed; the same if the batch is repeated."""
+    path = lake.silver(spec)
+    work = f"{path}/work-{number}"
+    current = rows(keyed.read_current(spark, lake.bronze(source), source))
+    touched = refresh_partials(
+        spark, f"{path}/partials", work, current, batch, measures, buckets
+    )
+    if touched is not None:
+        keyed.upsert_table(spark, path, spec, totals(of_keys(*touched, measures), measures))
+    remove_folder(spark, work)
+
+
+def _sides(maps: DataFrame) -> DataFrame:
+    """A row for either team of each map."""
+    return maps.select(
+        F.explode(F.array("TeamAName", "TeamBName")).alias("TeamName"),
+        F.col("Name").alias("MapName"),
+        "GameId",
+    )
 
 
 def refresh_all(

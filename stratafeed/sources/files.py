@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -9,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.dedup import latest_version
 from ..operators.backlog import without_done
+from ..operators.days import day_of
+from ..operators.dedup import latest_version
+from .storage import list_folders
 
 # By default a file stream skips files more than a week older than the newest one it
 # has seen, such as a late copy that kept its modification time.
@@ -23,7 +26,9 @@ JSON_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 CORRUPT = "_corrupt_record"
 #: Column that keeps the file of a row whose text may have to be kept.
 FILE = "__file"
-_DIGEST = "__digest"
+#: Partition column of a feed that is kept by day.
+DAY_FOLDER = "day_folder"
+_DIGEST, _PIECES = "__digest", "__pieces"
 
 
 def with_corrupt(schema: T.StructType) -> T.StructType:
@@ -119,7 +124,10 @@ def stream_json(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("timestampNTZFormat", JSON_NTZ_FORMAT)
     )
-    rows = _limited(reader, max_files).option("recursiveFileLookup", True).json(path)
+    # A folder of a day may be replaced after its files were listed; its rows come again
+    # with the new files.
+    reader = _limited(reader, max_files).option("ignoreMissingFiles", True)
+    rows = reader.option("recursiveFileLookup", True).json(path)
     if CORRUPT not in rows.columns:
         return rows
     return rows.withColumn(FILE, F.col("_metadata.file_path"))
@@ -152,6 +160,99 @@ def append_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def overwrite_partitions(
+    df: DataFrame, path: str, by: str, format: str = "parquet", pieces: str | None = None
+) -> None:
+    """Write rows to one folder per value of ``by``; a folder that gets rows loses the ones
+    it had, any other folder stays.
+
+    Rows of a value come together before they are written, in as many tasks and files as
+    the column ``pieces`` says, by default one; that column is not written. A repeated
+    write replaces what it wrote. ``df`` may read from the same path.
+    """
+    spread = [F.col(by)]
+    if pieces is not None:
+        spread.append(F.pmod(F.xxhash64(*df.columns), F.col(pieces)))
+    # A given number of tasks, as a folder costs time even where its rows are few.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartition(tasks, *spread)
+    (
+        (rows if pieces is None else rows.drop(pieces))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("timestampNTZFormat", JSON_NTZ_FORMAT)
+        .partitionBy(by)
+        .format(format)
+        .save(path)
+    )
+
+
+def overwrite_days(
+    df: DataFrame, path: str, day: str, format: str = "json", rows_per_file: int = 1_000_000
+) -> None:
+    """``overwrite_partitions`` by the day of each row; rows without a day are left out.
+
+    Rows per day are counted first, so that a day with very many is written by many
+    tasks, in files of about ``rows_per_file``, and any other day is one file.
+    """
+    own = df.withColumn(DAY_FOLDER, day_of(df, day)).where(F.col(DAY_FOLDER).isNotNull())
+    large = (
+        own.groupBy(DAY_FOLDER)
+        .agg(F.ceil(F.count("*") / rows_per_file).alias(_PIECES))
+        .where(F.col(_PIECES) > 1)
+    )
+    counted = own.join(large, DAY_FOLDER, "left").withColumn(
+        _PIECES, F.coalesce(F.col(_PIECES), F.lit(1))
+    )
+    overwrite_partitions(counted, path, DAY_FOLDER, format, _PIECES)
+
+
+def read_days(
+    spark: SparkSession, path: str, schema: T.StructType, format: str = "json"
+) -> DataFrame:
+    """A feed kept by day; a condition on ``DAY_FOLDER`` leaves other folders unread."""
+    whole = T.StructType([*schema, T.StructField(DAY_FOLDER, T.DateType())])
+    return (
+        spark.read.schema(whole)
+        .option("timestampNTZFormat", JSON_NTZ_FORMAT)
+        .format(format)
+        .load(path)
+    )
+
+
+def stored_days(spark: SparkSession, path: str, day: str) -> DataFrame | None:
+    """The days a feed kept by day holds, by the names of its folders; None without any.
+
+    Nothing is read. The names come to the driver, one per day.
+    """
+    names = (name.partition("=") for name in list_folders(spark, path))
+    days = [(dt.date.fromisoformat(d),) for column, _, d in names if column == DAY_FOLDER]
+    return spark.createDataFrame(days, T.StructType([T.StructField(day, T.DateType())])) if days else None
+
+
+def day_bounds(
+    spark: SparkSession, path: str, day: str
+) -> tuple[dt.date | None, dt.date | None]:
+    """Oldest and newest day of parquet files with a date column, from their footers.
+
+    The statistics that each file keeps of its columns are read, not the rows; a session
+    of its own has the reader that can do so, the settings of ``spark`` stay.
+    """
+    bounds = footer_bounds(spark, path, day).first()
+    return bounds.min_day, bounds.max_day
+
+
+def footer_bounds(spark: SparkSession, path: str, day: str) -> DataFrame:
+    """The row behind ``day_bounds``: its plan has the aggregate pushed into the scan."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    days = own.read.parquet(path)
+    if not isinstance(days.schema[day].dataType, T.DateType):
+        raise ValueError(f"{day} is no date: footers order its values in another way")
+    return days.agg(F.min(day).alias("min_day"), F.max(day).alias("max_day"))
+
+
 def write_documents(df: DataFrame, path: str) -> None:
     """Append each row as one line holding a JSON array of one document."""
     document = F.to_json(

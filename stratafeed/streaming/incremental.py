@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.quality import conform, has_required, split_valid
 from ..functions.text import normalise_iso
@@ -14,6 +16,9 @@ from ..schemas import TableSpec
 from ..sources import files, keyed
 from ..sources.storage import exists
 
+_POOL = "spark.scheduler.pool"
+_POLL_SECONDS = 0.05
+
 
 def clean_batch(df: DataFrame, spec: TableSpec) -> DataFrame:
     """One row per key: gate, required fields, latest version, typed timestamps.
@@ -47,7 +52,19 @@ def run_incremental(
     compact_share: float = 0.2,
     timeout: int | None = None,
 ) -> None:
-    """Bring the table at ``path`` up to date with a file stream, then stop.
+    """Bring the table at ``path`` up to date with a file stream, then stop."""
+    finish([start_incremental(spark, stream, path, spec, compact_share)], timeout)
+
+
+def start_incremental(
+    spark: SparkSession,
+    stream: DataFrame,
+    path: str,
+    spec: TableSpec,
+    compact_share: float = 0.2,
+    pool: str | None = None,
+) -> StreamingQuery:
+    """Begin to bring the table at ``path`` up to date with a file stream.
 
     The first run is the full load; a later one sees only new files. The
     checkpoint lies inside the table folder, because batch numbers name its
@@ -97,7 +114,7 @@ def run_incremental(
         )
     else:
         narrowed = conform(through_gate(stream, spec), spec.schema)
-    drain(narrowed, store, checkpoint, timeout)
+    return start(narrowed, store, checkpoint, pool)
 
 
 def drain(
@@ -106,20 +123,56 @@ def drain(
     checkpoint: str,
     timeout: int | None = None,
 ) -> None:
-    """Give every available micro-batch to ``store``, then stop.
+    """Give every available micro-batch to ``store``, then stop."""
+    finish([start(stream, store, checkpoint)], timeout)
+
 
-    A batch may come twice after a failure, with the same number and rows, so
+def start(
+    stream: DataFrame,
+    store: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    pool: str | None = None,
+) -> StreamingQuery:
+    """Begin to give every available micro-batch to ``store``.
+
+    ``pool`` names the scheduler pool of its jobs: with ``spark.scheduler.mode=FAIR``
+    streams in pools of their own share the executors evenly. A batch may come twice after a failure, with the same number and rows, so
     ``store`` has to overwrite what it wrote for that number.
     """
-    query = (
-        stream.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("update")
-        .trigger(availableNow=True)
-        .start()
-    )
-    if timeout is None:
-        query.awaitTermination()
-    elif not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError(f"the stream was not drained within {timeout} seconds")
+    context = stream.sparkSession.sparkContext
+    before = context.getLocalProperty(_POOL)
+    # A stream's thread takes over the properties of the one that starts it.
+    context.setLocalProperty(_POOL, before if pool is None else pool)
+    try:
+        return (
+            stream.writeStream.foreachBatch(store)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("update")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        context.setLocalProperty(_POOL, before)
+
+
+def finish(queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:
+    """Wait until all streams have drained.
+
+    As soon as one fails, the others are stopped and its error is raised; what they have
+    committed stays, and the rest is taken up by the next run. The same holds if
+    ``timeout`` seconds are not enough.
+    """
+    ends = None if timeout is None else time.monotonic() + timeout
+    try:
+        while any([q.isActive for q in queries]):
+            if any(q.exception() for q in queries if not q.isActive):
+                break
+            if ends is not None and time.monotonic() > ends:
+                raise TimeoutError(f"the streams were not drained within {timeout} seconds")
+            time.sleep(_POLL_SECONDS)
+        for query in queries:
+            if not query.isActive:
+                query.awaitTermination()
+    finally:
+        for query in queries:
+            query.stop()
