@@ -20,8 +20,8 @@ SLICE_BYTES = 1 << 20
 
 WORD = r"[^\x20\x09-\x0D]+"
 
-_MULTIPLIER = 0x9E3779B97F4A7C15
-_INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
+#: The two largest primes below 2**31.
+_PRIMES = (np.uint64(2**31 - 1), np.uint64(2**31 - 19))
 
 
 def n_words(text: Column) -> Column:
@@ -87,24 +87,38 @@ def split_words(data: np.ndarray, offsets: np.ndarray) -> Words:
 class Hasher:
     """64-bit hashes of byte ranges, equal in every process.
 
-    A polynomial over random 64-bit values of the bytes, taken from prefix sums, and
-    scrambled. Different ranges share a value with a chance of about 2**-64.
+    Two polynomials over random values of the bytes, modulo primes and at random points,
+    each taken from prefix sums, and scrambled together with the length. A polynomial of
+    degree n has n roots at most, so two different ranges of n bytes share a value with a
+    chance of about (n / 2**31)**2, and of 2**-64 at best.
     """
 
     def __init__(self, seed: int = 7) -> None:
-        self.table = np.random.PCG64(seed).random_raw(256)
+        raw = np.random.PCG64(seed).random_raw(2 * 256 + 2)
         self.steps = np.random.PCG64(seed + 1).random_raw(64) | np.uint64(1)
-        self.up = self.down = np.ones(1, np.uint64)
+        self.tables = [raw[256 * i : 256 * (i + 1)] % p for i, p in enumerate(_PRIMES)]
+        self.points = [int(x) % int(p) for x, p in zip(raw[512:], _PRIMES, strict=True)]
+        self.powers = [(np.ones(1, np.uint64), np.ones(1, np.uint64))] * len(_PRIMES)
 
     def ranges(self, data: np.ndarray, start: np.ndarray, end: np.ndarray):
         n = len(data)
-        if len(self.up) < n + 1:
-            self.up, self.down = _powers(_MULTIPLIER, n + 1), _powers(_INVERSE, n + 1)
-        sums = np.zeros(n + 1, np.uint64)
-        sums[1:] = self.table[data]
-        sums[1:] *= self.up[:n]
-        np.cumsum(sums[1:], out=sums[1:])
-        return scramble((sums[end] - sums[start]) * self.down[start])
+        if len(self.powers[0][0]) < n + 1:
+            self.powers = [
+                (_powers(x, n + 1, int(p)), _powers(pow(x, -1, int(p)), n + 1, int(p)))
+                for x, p in zip(self.points, _PRIMES, strict=True)
+            ]
+        out = (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for i, p in enumerate(_PRIMES):
+            up, down = self.powers[i]
+            sums = np.zeros(n + 1, np.uint64)
+            sums[1:] = self.tables[i][data]
+            sums[1:] *= up[:n]
+            sums[1:] %= p
+            # Below 2**31 each, so that 2**33 bytes could be added up.
+            np.cumsum(sums[1:], out=sums[1:])
+            own = (sums[end] - sums[start]) % p * down[start] % p
+            out = scramble(out ^ own << np.uint64(32 * i))
+        return out
 
     def windows(self, words: np.ndarray, first: np.ndarray, k: int):
         """Hash of every k words in a row within one text, and where each begins."""
@@ -127,10 +141,15 @@ def scramble(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
+def _powers(base: int, n: int, prime: int) -> np.ndarray:
+    """``base ** i`` modulo a prime below 2**31, for i below ``n``."""
+    out = np.ones(n, np.uint64)
+    done = 1
+    while done < n:
+        more = min(done, n - done)
+        out[done : done + more] = out[:more] * np.uint64(pow(base, done, prime)) % np.uint64(prime)
+        done += more
+    return out
 
 
 def extended(df: DataFrame, text: str, column: str, kind, task, keep=None) -> DataFrame:

@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
-The distinct chunks of a slice of text are joined to one string, whose suffixes are
-sorted. Every piece of the vocabulary is looked up in them by binary search; its range
+The distinct chunks of a slice of text that were not met before are joined to strings of
+bounded size, whose suffixes are sorted. Every piece of the vocabulary is looked up in them by binary search; its range
 of suffixes are its occurrences, and all occurrences, sorted by position, are the edges
 of a lattice over the string. A chunk is then relaxed over these edges: neighbouring
 spans join along the edge of highest score, leftmost first, until no edge joins two
@@ -12,6 +12,7 @@ unigram model.
 from __future__ import annotations
 
 import heapq
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -25,7 +26,9 @@ _SLICE = 2 << 20
 #: Chunks of more characters are relaxed one by one with a heap.
 _LONG = 48
 #: Chunks whose ids a task remembers.
-_CHUNKS = 500_000
+_CHUNKS = 200_000
+#: Bytes of distinct chunks that are indexed at once; a longer chunk is indexed alone.
+_INDEXED = 256 << 10
 _MARK = "▁".encode()
 
 
@@ -148,7 +151,6 @@ class Encoder:
         joined = {b for p in own if len(p) > 1 for b in p}
         # ASCII characters of no longer piece always stand alone.
         self.alone = np.array([b < 128 and b not in joined for b in range(256)])
-        self.hasher = _text.Hasher(33)
         self._forget()
         self.span = 1 << int(self.sizes.max()).bit_length()
 
@@ -163,40 +165,51 @@ class Encoder:
         if not len(data):
             return np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
         start = self._chunks(data, offsets)
-        end = np.append(start[1:], len(data))
-        hashes = self.hasher.ranges(data, start, end)
-        _, at, which = np.unique(hashes, return_index=True, return_inverse=True)
-        known = self._known(hashes[at], data, start[at], end[at])[which]
+        known = self._known(data.tobytes(), start, np.append(start[1:], len(data)))
         counts = self.counts[known]
         upto = np.concatenate([[0], np.cumsum(counts)])
         out = self.flat[np.repeat(self.begin[known] - upto[:-1], counts) + np.arange(upto[-1])]
         return out, upto[np.searchsorted(start, offsets)]
 
-    def _known(self, hashes, data, start, end):
-        """Places of distinct chunks among those encoded so far, with the new ones added.
+    def _known(self, raw: bytes, start, end):
+        """Places of chunks among those encoded so far, with the new ones added.
 
-        Hashes rise. At most ``_CHUNKS`` chunks are kept from slice to slice.
+        Chunks are told apart by their bytes. At most ``_CHUNKS`` of them, and those of one
+        slice, are kept.
         """
         if len(self.seen) > _CHUNKS:
             self._forget()
-        at = np.searchsorted(self.seen, hashes)
-        new = np.ones(len(hashes), bool)
-        inside = at < len(self.seen)
-        new[inside] = self.seen[at[inside]] != hashes[inside]
-        if new.any():
-            flat, ends = self._distinct(data, start[new], end[new])
-            seen = np.concatenate([self.seen, hashes[new]])
-            order = np.argsort(seen)
-            self.seen = seen[order]
-            self.begin = np.concatenate([self.begin, ends[:-1] + len(self.flat)])[order]
-            self.counts = np.concatenate([self.counts, np.diff(ends)])[order]
-            self.flat = np.concatenate([self.flat, flat])
-            at = np.searchsorted(self.seen, hashes)
-        return at
+        chunks = [raw[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        places = np.fromiter(map(self.seen.get, chunks, repeat(-1)), np.int64, len(chunks))
+        open_ = np.flatnonzero(places < 0)
+        if len(open_):
+            self._learn(list(dict.fromkeys(chunks[i] for i in open_)))
+            places[open_] = [self.seen[chunks[i]] for i in open_]
+        return places
+
+    def _learn(self, new: list[bytes]):
+        """Encode distinct chunks, some at a time."""
+        begin, counts, flat = [self.begin], [self.counts], [self.flat]
+        size, at = len(self.flat), 0
+        upto = np.cumsum([len(c) + 1 for c in new])
+        while at < len(new):
+            done = int(upto[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(upto, done + _INDEXED, "right")))
+            ids, ends = self._distinct(new[at:to])
+            begin.append(ends[:-1] + size)
+            counts.append(np.diff(ends))
+            flat.append(ids.astype(np.int32))
+            size += len(ids)
+            at = to
+        places = range(len(self.seen), len(self.seen) + len(new))
+        self.seen.update(zip(new, places, strict=True))
+        self.begin, self.counts = np.concatenate(begin), np.concatenate(counts)
+        self.flat = np.concatenate(flat)
 
     def _forget(self):
-        self.seen = np.zeros(0, np.uint64)
-        self.begin = self.counts = self.flat = np.zeros(0, np.int64)
+        self.seen: dict[bytes, int] = {}
+        self.begin = self.counts = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.int32)
 
     def _chunks(self, data, offsets):
         """Starts of chunks that no piece crosses: runs of spaces with what follows."""
@@ -208,13 +221,10 @@ class Encoder:
         begins[1:] |= alone
         return np.flatnonzero(begins[:-1])
 
-    def _distinct(self, data, start, end):
-        sizes = end - start
-        upto = np.concatenate([[0], np.cumsum(sizes + 1)])
-        inner = np.repeat(start - upto[:-1], sizes + 1) + np.arange(upto[-1])
+    def _distinct(self, chunks: list[bytes]):
         # One 0 behind every chunk keeps the pieces from matching across.
-        joined = data[np.minimum(inner, len(data) - 1)].copy()
-        joined[upto[1:] - 1] = 0
+        joined = np.frombuffer(b"\0".join([*chunks, b""]), np.uint8)
+        upto = np.concatenate([[0], np.cumsum([len(c) + 1 for c in chunks])])
         edges, piece = self._edges(joined)
         return self._relax(joined, upto[:-1], upto[1:] - 1, edges, piece)
 
@@ -227,9 +237,10 @@ class Encoder:
         high = self._bound(keys, suffixes, self.high, True)
         counts = np.maximum(high - low, 0)
         upto = np.concatenate([[0], np.cumsum(counts)])
-        position = suffixes[np.repeat(low - upto[:-1], counts) + np.arange(upto[-1])]
-        piece = np.repeat(np.arange(len(counts)), counts)
-        edges = position * self.span + self.sizes[piece]
+        edges = suffixes[np.repeat(low - upto[:-1], counts) + np.arange(upto[-1])]
+        piece = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        edges *= self.span
+        edges += self.sizes[piece]
         order = np.argsort(edges)
         assert n < (1 << 62) // self.span
         return edges[order], piece[order]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,3 +34,52 @@ def test_nulls_repeats_and_no_rows(spark):
     drawn = labelled_texts(docs, labels, "id", "text", "label", 5)
     assert {(r.key, r.text, r.label) for r in drawn.collect()} == {(2, None, 0), (2, "b", 0)}
     assert labelled_texts(docs, labels.limit(0), "id", "text", "label", 5).count() == 0
+
+
+def complements(rounds=10):
+    """A word of 2**rounds letters and its complement, which agree in every polynomial
+    modulo a power of two with an odd point."""
+    word, swap = "a", str.maketrans("ab", "ba")
+    for _ in range(rounds):
+        word += word.translate(swap)
+    return word, word.translate(swap)
+
+
+def test_long_words_that_hash_alike_modulo_powers_of_two():
+    import numpy as np
+    import pytest
+    from sentencepiece import SentencePieceProcessor
+
+    from stratafeed.llm import _text, pieces
+    from stratafeed.llm.queries import PIECE_MODEL
+
+    one, other = complements()
+    data = np.frombuffer((one + other).encode(), np.uint8)
+    n = len(one)
+    for seed in range(5):
+        hashes = _text.Hasher(seed).ranges(data, np.array([0, n]), np.array([n, 2 * n]))
+        assert hashes[0] != hashes[1]
+    if not Path(PIECE_MODEL).exists():
+        pytest.skip("no model")
+    model = SentencePieceProcessor(model_file=PIECE_MODEL)
+    encoder = pieces.Encoder(pieces.load(PIECE_MODEL))
+    offsets = np.array([0, n, 2 * n])
+    for _ in range(2):
+        ids, ends = encoder.encode(data, offsets)
+        found = [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        assert found == [model.encode(one), model.encode(other)]
+
+
+def test_hashes_of_ranges_follow_the_bytes():
+    import numpy as np
+
+    from stratafeed.llm import _text
+
+    raw = b"some words, some other words and some words again"
+    cuts = [(i, j) for i in range(len(raw)) for j in range(i + 1, len(raw) + 1)]
+    start, end = (np.array(x) for x in zip(*cuts, strict=True))
+    hashes = _text.Hasher().ranges(np.frombuffer(raw, np.uint8), start, end)
+    by_bytes = {}
+    for (i, j), value in zip(cuts, hashes.tolist(), strict=True):
+        assert by_bytes.setdefault(raw[i:j], value) == value
+    assert len(set(by_bytes.values())) == len(by_bytes)
