@@ -2,6 +2,7 @@
 
 from . import (  # noqa: F401
     days,
+    drift,
     feed,
     files,
     increments,
@@ -10,6 +11,7 @@ from . import (  # noqa: F401
     pipeline,
     quality,
     stats,
+    stored,
     streams,
 )
 from .registry import CHECKS

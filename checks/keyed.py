@@ -155,7 +155,7 @@ def _merged_sql(stored: str, batch: str) -> str:
 def upsert_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without a version the batch wins, though its rows are the older ones."""
     stored = latest_events(spark, sf_dir, LATE)
-    return merge.upsert(stored, latest_events(spark, sf_dir, EARLY), KEYS)
+    return merge.upsert(stored, latest_events(spark, sf_dir, EARLY), KEYS, unique=True)
 
 
 @check(latest_sql())
@@ -163,7 +163,7 @@ def upsert_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same batch with a version: older rows do not replace newer ones."""
     stored = latest_events(spark, sf_dir, LATE)
     batch = latest_events(spark, sf_dir, EARLY)
-    return merge.upsert(stored, batch, KEYS, version="ts")
+    return merge.upsert(stored, batch, KEYS, version="ts", unique=True)
 
 
 @check("""
@@ -189,14 +189,15 @@ def upsert_version_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     stored, batch = newest("stored", "value > 5"), newest("batch", "value <= 15")
-    return merge.upsert(stored, batch, KEYS, version="version").drop("version")
+    merged = merge.upsert(stored, batch, KEYS, version="version", unique=True)
+    return merged.drop("version")
 
 
 @check(latest_sql())
 def upsert_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Into an empty table."""
     batch = latest_events(spark, sf_dir)
-    return merge.upsert(spark.createDataFrame([], batch.schema), batch, KEYS)
+    return merge.upsert(spark.createDataFrame([], batch.schema), batch, KEYS, unique=True)
 
 
 def _line_sides_sql(where: str) -> str:

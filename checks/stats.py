@@ -13,7 +13,7 @@ from stratafeed.operators.stats import entity_stats as _entity_stats
 from stratafeed.operators.stats import side_counts as _side_counts
 from stratafeed.plans.layers import player_stats as _player_stats
 from stratafeed.plans.layers import team_counts as _team_counts
-from stratafeed.plans.sql_tables import run_sql_table
+from stratafeed.plans.sql_tables import run_sql_table, run_sql_tables
 from stratafeed.sources import catalog, files
 from stratafeed.sources.storage import new_folder
 
@@ -182,3 +182,37 @@ def sql_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table given as SQL text over named frames."""
     views = {name: table(spark, sf_dir, name) for name in ("orders", "customer")}
     return run_sql_table(spark, _BY_SIDE, views)
+
+
+# Given in an order in which no table can be run: the last one reads no other.
+_DEPENDENT = {
+    "ranked": """
+        SELECT t.o_custkey, t.total, s.c_mktsegment,
+               t.total > (SELECT avg(total) FROM per_customer) AS above
+        FROM per_customer t JOIN segments s ON s.c_custkey = t.o_custkey
+    """,
+    "segments": """
+        WITH known AS (SELECT c_custkey, c_mktsegment FROM customer)
+        SELECT k.* FROM known k LEFT SEMI JOIN per_customer p ON p.o_custkey = k.c_custkey
+    """,
+    "per_customer": """
+        SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS total
+        FROM orders GROUP BY o_custkey
+    """,
+}
+
+
+@check("""
+    WITH p AS (SELECT o_custkey, sum(o_totalprice::DECIMAL(18, 2)) AS total
+               FROM orders GROUP BY o_custkey)
+    SELECT c_mktsegment, count(*) AS n_customers,
+           count(*) FILTER (total > (SELECT sum(total)::DOUBLE / count(*) FROM p)) AS n_above
+    FROM p JOIN customer ON c_custkey = o_custkey GROUP BY c_mktsegment
+""")
+def sql_tables_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three tables given by SQL, of which each reads the one below it."""
+    views = {name: table(spark, sf_dir, name) for name in ("orders", "customer")}
+    ranked = run_sql_tables(spark, _DEPENDENT, views)["ranked"]
+    return ranked.groupBy("c_mktsegment").agg(
+        F.count("*").alias("n_customers"), F.count_if("above").alias("n_above")
+    )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stratafeed.schemas import TableSpec
 from stratafeed.sources import files, keyed
-from stratafeed.sources.storage import new_folder
+from stratafeed.sources.storage import new_folder, size_of
 from stratafeed.streaming import run_incremental
 
 from .keyed import KEYS, latest_sql
@@ -120,3 +120,18 @@ def _replay(
         stream = files.stream_parquet(spark, f"{path}/raw", events.schema)
         run_incremental(spark, stream, f"{path}/table", spec, compact_share)
     return keyed.read_current(spark, f"{path}/table", spec)
+
+
+@check(latest_sql())
+def stream_archived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batches bounded by bytes, over files that are moved away once read."""
+    events = table(spark, sf_dir, "events")
+    root = new_folder(spark, "stream_archived")
+    spec = _spec(events)
+    for condition in SLICES:
+        files.append_json(events.where(condition).repartition(4, "event_id"), f"{root}/inbox")
+        size = size_of(spark, f"{root}/inbox")
+        intake = files.Intake(max_bytes=max(1, size // 4), archive=f"{root}/done")
+        stream = files.stream_json(spark, f"{root}/inbox", events.schema, intake)
+        run_incremental(spark, stream, f"{root}/table", spec)
+    return keyed.read_current(spark, f"{root}/table", spec)

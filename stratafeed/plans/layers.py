@@ -95,7 +95,7 @@ def load_matches(
 
 
 def refresh_matches(
-    spark: SparkSession, lake: Lake, max_files: int | None = None, **options
+    spark: SparkSession, lake: Lake, max_files: int | files.Intake | None = None, **options
 ) -> None:
     """Raw matches to the bronze match table.
 
@@ -117,7 +117,7 @@ def land_details(
     lake: Lake,
     inbox: str,
     one_per_file: bool = True,
-    max_files: int | None = None,
+    max_files: int | files.Intake | None = None,
 ) -> None:
     """Store delivered payloads of bronze matches, each once.
 
@@ -228,7 +228,7 @@ def _landed_ids(spark: SparkSession, lake: Lake) -> DataFrame | None:
 
 
 def explode_details(
-    spark: SparkSession, lake: Lake, max_files: int | None = None
+    spark: SparkSession, lake: Lake, max_files: int | files.Intake | None = None
 ) -> None:
     """Landed payloads to raw player and map rows, both in one pass over them.
 
@@ -245,7 +245,7 @@ def explode_details(
 
 
 def _stream_details(
-    spark: SparkSession, lake: Lake, spec: TableSpec, max_files: int | None = None
+    spark: SparkSession, lake: Lake, spec: TableSpec, max_files: int | files.Intake | None = None
 ) -> DataFrame:
     """Raw rows of one of the two tables that come from payloads."""
     kind, schema = _DETAILS[spec.name]
@@ -260,7 +260,7 @@ def _stream_details(
 
 
 def refresh_details(
-    spark: SparkSession, lake: Lake, max_files: int | None = None, **options
+    spark: SparkSession, lake: Lake, max_files: int | files.Intake | None = None, **options
 ) -> None:
     """Raw player and map rows to their bronze tables, two streams side by side."""
     timeout = options.pop("timeout", None)
@@ -315,7 +315,7 @@ def refresh_silver(
     lake: Lake,
     database: str = "silver",
     buckets: int = 8,
-    max_files: int | None = None,
+    max_files: int | files.Intake | None = None,
 ) -> None:
     """Bring the statistics up to date with the raw rows that came since the last run.
 

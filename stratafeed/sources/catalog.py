@@ -36,11 +36,15 @@ def _quoted(name: str) -> str:
 
 def load_schema(path: str) -> T.StructType:
     """A schema from the JSON form Spark writes (``StructType.json()``)."""
-    with open(path, encoding="utf-8") as file:
-        return T.StructType.fromJson(json.load(file))
+    return T.StructType.fromJson(json.loads(_text_of(path)))
 
 
 def load_query(path: str) -> str:
     """The text of a SQL file, without a closing semicolon."""
-    with open(path, encoding="utf-8") as file:
-        return file.read().strip().removesuffix(";")
+    return _text_of(path).strip().removesuffix(";")
+
+
+def _text_of(path: str) -> str:
+    """A small text file, on any file system that Spark reads."""
+    spark = SparkSession.active()
+    return spark.read.option("wholetext", True).text(path).first().value

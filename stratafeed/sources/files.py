@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -92,14 +93,14 @@ def stream_payloads(
     path: str,
     schema: T.StructType,
     one_per_file: bool = True,
-    max_files: int | None = None,
+    intake: int | Intake | None = None,
 ) -> DataFrame:
     """``read_payloads`` over the files that are new.
 
     If ``schema`` has the column ``CORRUPT``, it holds the text of a document that does
     not parse as declared.
     """
-    reader = _limited(spark.readStream.schema(schema), max_files)
+    reader = _limited(spark.readStream.schema(schema), intake)
     return (
         reader.option("multiLine", one_per_file)
         .option("columnNameOfCorruptRecord", CORRUPT)
@@ -112,7 +113,7 @@ def stream_json(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    max_files: int | None = None,
+    intake: int | Intake | None = None,
 ) -> DataFrame:
     """Lines of JSON in new files.
 
@@ -126,7 +127,7 @@ def stream_json(
     )
     # A folder of a day may be replaced after its files were listed; its rows come again
     # with the new files.
-    reader = _limited(reader, max_files).option("ignoreMissingFiles", True)
+    reader = _limited(reader, intake).option("ignoreMissingFiles", True)
     rows = reader.option("recursiveFileLookup", True).json(path)
     if CORRUPT not in rows.columns:
         return rows
@@ -137,7 +138,7 @@ def stream_parquet(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    max_files: int | None = None,
+    intake: int | Intake | None = None,
     name_glob: str | None = None,
 ) -> DataFrame:
     """Parquet files below a folder, or below what ``name_glob`` names in it.
@@ -145,7 +146,7 @@ def stream_parquet(
     The glob picks files or folders directly in ``path``, so a table may be one file or
     a folder of part files.
     """
-    reader = _limited(spark.readStream.schema(schema), max_files)
+    reader = _limited(spark.readStream.schema(schema), intake)
     if name_glob is not None:
         path = f"{path}/{name_glob}"
     return reader.option("recursiveFileLookup", True).parquet(path)
@@ -308,9 +309,39 @@ def ids_of(payloads: DataFrame, path: str, key: str) -> DataFrame:
     return payloads.select(F.col(path).alias(key))
 
 
-def _limited(reader, max_files: int | None):
-    """Cap the files of one micro-batch; without a cap a run is a single batch."""
+@dataclass(frozen=True)
+class Intake:
+    """How a file stream takes up its files, and what becomes of them.
+
+    ``max_files`` or ``max_bytes`` bounds a micro-batch (a file that is larger alone is a
+    batch of its own); without either a run is a single batch. ``archive`` is a folder on
+    the file system of the input that files are moved to once their batch is done, so
+    that listing the input stays cheap; the path of a file is kept below it. The files of
+    a run's last batch are moved in the next run. Moving takes place in the background
+    and may miss a file if the run is killed; the checkpoint, not the folder, tells what
+    was read.
+    """
+
+    max_files: int | None = None
+    max_bytes: int | None = None
+    archive: str | None = None
+
+    def __post_init__(self) -> None:
+        if self.max_files is not None and self.max_bytes is not None:
+            raise ValueError("bound a micro-batch by files or by bytes, not by both")
+
+
+def _limited(reader, intake: int | Intake | None):
+    """Apply an intake; a number bounds the files of a micro-batch."""
+    if not isinstance(intake, Intake):
+        intake = Intake(intake)
     reader = reader.option("maxFileAge", ANY_AGE)
-    if max_files is None:
-        return reader
-    return reader.option("maxFilesPerTrigger", max_files)
+    if intake.max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", intake.max_files)
+    if intake.max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", intake.max_bytes)
+    if intake.archive is not None:
+        reader = reader.option("cleanSource", "archive").option(
+            "sourceArchiveDir", intake.archive
+        )
+    return reader
