@@ -27,8 +27,9 @@ def labelled_texts(
     """``key``, ``text`` and ``label`` of at most ``per_label`` keys of each label.
 
     Keys are drawn by a hash of them, the same in every run. Where a key has several
-    labels, the smallest holds; rows without key or label are not drawn. At most
-    ``per_label`` keys and labels per distinct label are broadcast, nothing else.
+    labels, the smallest holds; rows without key or label are not drawn. Of several texts
+    with one key the one with the smallest hash counts, so the bound holds for rows too. At
+    most ``per_label`` keys and labels per distinct label are broadcast, nothing else.
     """
     given = (
         labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
@@ -57,4 +58,9 @@ def labelled_texts(
         .select("key", "label")
     )
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return texts.join(F.broadcast(drawn), "key")
+    found = texts.join(F.broadcast(drawn), "key")
+    # Copies of a key shrink to one row in each task before they are shuffled.
+    own = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("own")
+    return found.groupBy("key", "label").agg(own).select(
+        "key", F.col("own.text").alias("text"), "label"
+    )

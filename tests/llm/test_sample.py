@@ -83,3 +83,18 @@ def test_hashes_of_ranges_follow_the_bytes():
     for (i, j), value in zip(cuts, hashes.tolist(), strict=True):
         assert by_bytes.setdefault(raw[i:j], value) == value
     assert len(set(by_bytes.values())) == len(by_bytes)
+
+
+def test_a_key_that_repeats_is_one_row_of_the_sample(spark):
+    docs = spark.range(5000).select(
+        F.lit(1).alias("k"), F.concat(F.lit("text "), F.col("id") % 40).alias("t"), F.lit("x").alias("label")
+    )
+    docs = docs.unionByName(spark.createDataFrame([(2, None, "x"), (2, "b", "x"), (3, None, "x")], docs.schema))
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 1), (3, 1), (3, 1)], "k int, label int")
+    for parts in (1, 7):
+        got = labelled_texts(docs.repartition(parts), labels, "k", "t", "label", 10).collect()
+        assert sorted((r.key, r.label) for r in got) == [(1, 0), (2, 1), (3, 1)]
+        texts = {r.key: r.text for r in got}
+        assert texts[1].startswith("text ") and texts[3] is None
+        first = texts if parts == 1 else first
+        assert texts == first
