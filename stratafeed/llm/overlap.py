@@ -3,10 +3,11 @@
 Rows of the matrix are documents, columns their distinct n-grams; a product of two rows
 is an overlap. Columns come in one order for all documents, rare ones first. If two rows
 of n and m columns reach the threshold, they share one of their first
-``n - ceil(t * n) + 1`` and ``m - ceil(t * m) + 1`` columns. So the product is built in
-two column blocks: the leading columns give candidate pairs and partial counts, pairs
-whose sizes or partial counts cannot reach the needed overlap are discarded, and only
-for the others the remaining columns are multiplied.
+``n - ceil(t * n) + 1`` and ``m - ceil(t * m) + 1`` columns; and the first that they share
+has the needed overlap left in both. So the product is built in two column blocks: the
+leading columns give candidate pairs and partial counts, pairs whose sizes, places or
+partial counts cannot reach the needed overlap are discarded, and only the others are
+multiplied in full.
 
 Components need no complete product. Equal rows are merged beforehand, whatever their
 number. Then each leading column names one of its rows as pivot, and each row is multiplied by
@@ -25,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import _text
 from .graph import components, stored
@@ -75,7 +77,7 @@ def join(
         "nodes",
     )
     rank = _frequencies(docs, words)
-    postings = stored(_postings(docs, nodes, words, percent, rank), "postings")
+    postings = stored(_postings(docs, words, percent, rank), "postings")
 
     links = tested = groups = None
     for turn in range(star_rounds):
@@ -89,7 +91,7 @@ def join(
     rest = stored(_open_pairs(postings, groups, tested, percent), "pairs")
     found = stored(_verified(rest, docs, nodes, words, percent), "found")
     if groups is None or not found.isEmpty():
-        links = links.unionByName(found)
+        links = found if links is None else links.unionByName(found)
         groups = components(links)
     return Joined(*_by_key(rows, nodes, links, groups, key))
 
@@ -116,25 +118,40 @@ def _by_key(rows, nodes, links, groups, key):
     return documents, by_key
 
 
-def _postings(docs, nodes, words, percent, rank) -> DataFrame:
-    """(column, node, n) of the leading columns that several nodes share."""
+def _postings(docs, words, percent, rank) -> DataFrame:
+    """(column, node, n, pos, lone) of the leading columns that several nodes share.
+
+    ``pos`` counts the columns of the row before this one, shared or not; ``lone`` are
+    the leading columns that a node has for itself.
+    """
     entries = _leading(docs.select("text"), words, percent, rank)
-    entries = entries.select("node", F.explode("leading").alias("column"))
-    # One exchange serves the aggregate and both sides of the join.
-    entries = entries.repartition("column")
+    entries = entries.select("node", "n", F.posexplode("leading").alias("pos", "column"))
+    # One exchange, after which a column that only one node has is dropped.
+    own = Window.partitionBy("column")
     shared = (
-        entries.groupBy("column")
-        .agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+        entries.repartition("column")
+        .withColumns({"lo": F.min("node").over(own), "hi": F.max("node").over(own)})
         .where("lo < hi")
-        .select("column")
+        .select("column", "node", "n", "pos")
+        .distinct()
     )
-    found = entries.join(shared.hint("shuffle_hash"), "column").distinct()
-    return found.join(nodes.select("node", "n"), "node").select("column", "node", "n")
+    in_common = F.count("*").over(Window.partitionBy("node"))
+    return shared.withColumn("lone", _n_leading(F.col("n"), percent) - in_common)
+
+
+def _n_leading(n, percent: int):
+    return n - F.ceil(percent * n / 100) + 1
+
 
+def _reaches(x: str, y: str, percent: int):
+    """Whether a column may be the first that two linking rows share.
 
-def _size_ok(n: str, m: str, percent: int):
-    """Whether sets of these sizes can reach the threshold at all."""
-    return (100 * F.least(n, m)) >= (percent * F.greatest(n, m))
+    Rows of n and m columns link if at least ``needed`` of them are the same. All of
+    these are at or behind the first one, so neither row has fewer left there.
+    """
+    n, m = F.col(f"{x}n"), F.col(f"{y}n")
+    needed = F.ceil(percent * (n + m) / (100 + percent))
+    return (n - F.col(f"{x}pos") >= needed) & (m - F.col(f"{y}pos") >= needed)
 
 
 def _grouped(postings: DataFrame, groups: DataFrame | None) -> DataFrame:
@@ -148,10 +165,15 @@ def _grouped(postings: DataFrame, groups: DataFrame | None) -> DataFrame:
 def _pivot_pairs(postings, groups, tested, turn, percent) -> DataFrame:
     """For each node the pivot of another component that it shares most columns with.
 
-    Every column has one pivot; pairs that were tested in an earlier turn are left out.
+    Every column has one pivot: in the first turn the row with the fewest leading columns
+    for itself, which of a group of similar texts is the one most like all others, and in
+    later ones any. Pairs that were tested in an earlier turn are left out.
     """
     rows = _grouped(postings, groups)
-    order = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), "node", "n", "root")
+    first = F.col("lone") if turn == 0 else F.lit(0)
+    order = F.struct(
+        first.alias("f"), F.xxhash64("node", F.lit(turn)).alias("o"), "node", "n", "pos", "root"
+    )
     pivots = (
         rows.groupBy("column")
         .agg(F.min(order).alias("p"), F.min("root").alias("lo"), F.max("root").alias("hi"))
@@ -160,7 +182,7 @@ def _pivot_pairs(postings, groups, tested, turn, percent) -> DataFrame:
     )
     near = (
         rows.join(pivots, "column")
-        .where((F.col("p.root") != F.col("root")) & _size_ok("n", "p.n", percent))
+        .where((F.col("p.root") != F.col("root")) & _reaches("", "p.", percent))
         .groupBy("node", F.col("p.node").alias("pivot"))
         .agg(F.count("*").alias("c"))
         .select(F.col("node").alias("a"), F.col("pivot").alias("b"), "c")
@@ -181,12 +203,13 @@ def _untested(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
 
 
 def _open_pairs(postings, groups, tested, percent) -> DataFrame:
-    """All pairs of different components that share enough leading columns.
+    """All pairs of different components whose leading columns leave a link possible.
 
-    With c shared leading columns, one of the two rows has no more common columns than
-    c and those behind its leading ones, ``ceil(t * n) - 1``.
+    A pair needs a column that may be the first it shares. Of the leading columns, the
+    first block, c are the same; a row that links has no more common columns than c and
+    those behind the leading ones of the larger row, ``ceil(t * n) - 1``.
     """
-    rows = _grouped(postings, groups)
+    rows = _grouped(postings, groups).select("column", "node", "n", "pos", "root")
     apart = (
         rows.groupBy("column")
         .agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
@@ -194,25 +217,24 @@ def _open_pairs(postings, groups, tested, percent) -> DataFrame:
         .select("column")
     )
     rows = rows.join(apart, "column", "left_semi")
-    other = rows.select(
-        "column", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "root")]
+    x, y = (rows.select("column", *[F.col(c).alias(f"{s}{c}") for c in rows.columns[1:]]) for s in "xy")
+    met = x.join(y, "column").where(
+        (F.col("xnode") < F.col("ynode"))
+        & (F.col("xroot") != F.col("yroot"))
+        & _reaches("x", "y", percent)
     )
-    pairs = rows.join(
-        other,
-        (rows["column"] == other["column"])
-        & (rows["node"] < other["node2"])
-        & (rows["root"] != other["root2"])
-        & _size_ok("n", "n2", percent),
+    pairs = _untested(
+        met.groupBy(F.col("xnode").alias("a"), F.col("ynode").alias("b")).agg(
+            F.first("xn").alias("n"), F.first("yn").alias("m")
+        ),
+        tested,
     )
-    behind = F.floor((percent * F.greatest("n", "n2") + 99) / 100) - 1
-    needed = percent * (F.col("n") + F.col("n2"))
-    likely = (
-        pairs.groupBy("node", "node2", "n", "n2")
-        .agg(F.count("*").alias("c"))
-        .where((100 + percent) * (F.col("c") + behind) >= needed)
-        .select(F.col("node").alias("a"), F.col("node2").alias("b"))
-    )
-    return _untested(likely, tested)
+    leads = postings.groupBy("node").agg(F.collect_list("column").alias("columns"))
+    counted = pairs.join(leads.toDF("a", "x"), "a").join(leads.toDF("b", "y"), "b")
+    behind = F.ceil(percent * F.greatest("n", "m") / 100) - 1
+    c = F.size(F.array_intersect("x", "y"))
+    enough = (100 + percent) * (c + behind) >= percent * (F.col("n") + F.col("m"))
+    return counted.where(enough).select("a", "b")
 
 
 def _verified(pairs, docs, nodes, words: int, percent: int) -> DataFrame:
@@ -357,27 +379,35 @@ def _rows(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _leading(docs: DataFrame, words: int, percent: int, rank: np.ndarray) -> DataFrame:
-    """(node, leading): the columns of each text that come first in the common order."""
+    """(node, n, leading): the columns of each text that come first in the common order."""
     ranks = docs.sparkSession.sparkContext.broadcast(rank)
     shift = np.uint64(64 - len(rank).bit_length() + 1)
 
     def lead(batches):
         hasher = _text.Hasher()
+        seen: set[int] = set()
         for batch in batches:
             for _, data, offsets in _text.slices(batch, "text"):
-                sets = [s for s in _sets_of(data, offsets, words, hasher) if len(s)]
+                sets = {_node(s): s for s in _sets_of(data, offsets, words, hasher) if len(s)}
+                # Copies of a text within a task count once.
+                sets = {node: s for node, s in sets.items() if node not in seen}
+                seen.update(sets)
                 leads = [
                     own[np.argsort(ranks.value[own >> shift], kind="stable")][
                         : len(own) - (percent * len(own) + 99) // 100 + 1
                     ]
-                    for own in sets
+                    for own in sets.values()
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_node(s) for s in sets], pa.int64()), _lists(leads)],
-                    ["node", "leading"],
+                    [
+                        pa.array(list(sets), pa.int64()),
+                        pa.array([len(s) for s in sets.values()], pa.int64()),
+                        _lists(leads),
+                    ],
+                    ["node", "n", "leading"],
                 )
 
-    return docs.mapInArrow(lead, "node long, leading array<long>")
+    return docs.mapInArrow(lead, "node long, n long, leading array<long>")
 
 
 def _set_task(words: int):

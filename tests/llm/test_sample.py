@@ -100,3 +100,39 @@ def test_a_key_that_repeats_is_one_row_of_the_sample(spark):
         assert texts[1].startswith("text ") and texts[3] is None
         first = texts if parts == 1 else first
         assert texts == first
+
+
+def test_a_large_group_around_the_threshold(spark):
+    """Texts a few edits away from one another, most pairs just below the threshold, with
+    copies, and shorter and longer ones; components equal those of all pairs."""
+    import random
+
+    from stratafeed.llm import overlap
+
+    draw = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(400):
+        words = list(base)
+        for _ in range(draw.choice([1, 2, 2, 3, 3, 4, 5])):
+            words[draw.randrange(len(words))] = f"x{draw.random()}"
+        texts.append(" ".join(words[: draw.choice([150, 150, 150, 140, 125])]))
+    texts += texts[:20] + [" ".join(base) + f" tail{i}" * 3 for i in range(5)]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 100 * len(a & b) >= 80 * len(a | b) and find(i) != find(j):
+                low, high = sorted((find(i), find(j)))
+                root[high] = low
+    assert 20 < len({find(i) for i in range(len(texts))}) < 380
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(5)
+    for rounds in (4, 0):
+        got = overlap.join(docs, "id", "text", star_rounds=rounds).documents.collect()
+        assert {r.id: r.component_id for r in got} == {i: find(i) for i in range(len(texts))}
