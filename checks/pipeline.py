@@ -6,7 +6,7 @@ increments, all payloads with the first one, so that the later half of them wait
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratafeed.plans import layers
@@ -77,7 +77,9 @@ def _refreshed(
 ) -> layers.Lake:
     root = new_folder(spark, name)
     lake, inbox = layers.Lake(f"{root}/lake"), f"{root}/inbox"
-    files.append_json(match_rows(spark, sf_dir), f"{root}/landing")
+    # A week of orders stands for a day of matches, of which the feed has some dozens.
+    weekly = F.date_trunc("week", "o_orderdate")
+    files.append_json(match_rows(spark, sf_dir, weekly), f"{root}/landing")
     files.write_documents(_payloads(spark, sf_dir), inbox)
     landing = files.read_json(spark, f"{root}/landing", MATCH_SCHEMA)
     # The landing of the last increment is run a second time, which must change nothing.
@@ -93,15 +95,19 @@ def _refreshed(
     return lake
 
 
-def match_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def match_rows(
+    spark: SparkSession, sf_dir: str, of_feed: Column | None = None
+) -> DataFrame:
+    """Orders as matches, by default under the day of their date."""
     day = F.date_format("o_orderdate", ISO)
+    feed_day = day if of_feed is None else F.date_format(of_feed, ISO)
     one = F.lit(1)
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("int").alias("GameId"),
         one.alias("RoundId"),
         F.year("o_orderdate").alias("Season"),
         one.alias("SeasonType"),
-        day.alias("Day"),
+        feed_day.alias("Day"),
         day.alias("DateTime"),
         day.alias("UpdatedUtc"),
         (F.col("o_orderstatus") != "P").alias("IsClosed"),
