@@ -34,6 +34,8 @@ from .graph import components, stored
 #: Counters of the frequency sketch, a byte each. Its size does not follow the data.
 COUNTERS = 1 << 23
 _PIECES = 64
+#: A turn takes place if it has at least this part of the first turn's pairs.
+_FEW = 8
 
 
 class Joined(NamedTuple):
@@ -63,6 +65,7 @@ def join(
     columns of ``df`` are not read. N-grams are compared by 64-bit hashes.
 
     ``star_rounds`` bounds the pivot rounds only, not what they leave to the last step.
+    Each of them and that step shuffles the texts once unless the pairs are few.
     """
     docs = df.select(
         F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text")
@@ -80,8 +83,14 @@ def join(
     postings = stored(_postings(docs, words, percent, rank), "postings")
 
     links = tested = groups = None
+    first = 0
     for turn in range(star_rounds):
         pairs = stored(_pivot_pairs(postings, groups, tested, turn, percent), "pairs")
+        # A turn reads all texts; a few pairs are left to the last step, which does so too.
+        n_pairs = pairs.count()
+        first = first or n_pairs
+        if _FEW * n_pairs < first:
+            break
         found = stored(_verified(pairs, docs, nodes, words, percent), "found")
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
