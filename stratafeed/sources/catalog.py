@@ -47,4 +47,4 @@ def load_query(path: str) -> str:
 def _text_of(path: str) -> str:
     """A small text file, on any file system that Spark reads."""
     spark = SparkSession.active()
-    return spark.read.option("wholetext", True).text(path).first().value
+    return spark.read.text(path, wholetext=True).first().value
