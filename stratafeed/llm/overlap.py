@@ -34,6 +34,8 @@ from .graph import components, stored
 #: Counters of the frequency sketch, a byte each. Its size does not follow the data.
 COUNTERS = 1 << 23
 _PIECES = 64
+#: Bits of the map of wanted texts; 256 rows of 2**15 bits.
+_MARK_BITS = 1 << 23
 #: A turn takes place if it has at least this part of the first turn's pairs.
 _FEW = 8
 
@@ -183,14 +185,8 @@ def _pivot_pairs(postings, groups, tested, turn, percent) -> DataFrame:
     order = F.struct(
         first.alias("f"), F.xxhash64("node", F.lit(turn)).alias("o"), "node", "n", "pos", "root"
     )
-    pivots = (
-        rows.groupBy("column")
-        .agg(F.min(order).alias("p"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-        .where("lo < hi")
-        .select("column", "p")
-    )
     near = (
-        rows.join(pivots, "column")
+        rows.withColumn("p", F.min(order).over(Window.partitionBy("column")))
         .where((F.col("p.root") != F.col("root")) & _reaches("", "p.", percent))
         .groupBy("node", F.col("p.node").alias("pivot"))
         .agg(F.count("*").alias("c"))
@@ -219,13 +215,9 @@ def _open_pairs(postings, groups, tested, percent) -> DataFrame:
     those behind the leading ones of the larger row, ``ceil(t * n) - 1``.
     """
     rows = _grouped(postings, groups).select("column", "node", "n", "pos", "root")
-    apart = (
-        rows.groupBy("column")
-        .agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-        .where("lo < hi")
-        .select("column")
-    )
-    rows = rows.join(apart, "column", "left_semi")
+    own = Window.partitionBy("column")
+    apart = {"lo": F.min("root").over(own), "hi": F.max("root").over(own)}
+    rows = rows.withColumns(apart).where("lo < hi").drop("lo", "hi")
     x, y = (rows.select("column", *[F.col(c).alias(f"{s}{c}") for c in rows.columns[1:]]) for s in "xy")
     met = x.join(y, "column").where(
         (F.col("xnode") < F.col("ynode"))
@@ -270,7 +262,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """``wanted`` with the complete row of columns of each node."""
     grouped = wanted.groupBy("key", "mark", "node").agg(F.collect_list("to").alias("to"))
     texts = (
-        docs.alias("d")
+        _maybe_marked(docs, wanted)
+        .alias("d")
         .join(
             grouped.alias("w"),
             F.col("d.key").eqNullSafe(F.col("w.key")) & (F.col("d.mark") == F.col("w.mark")),
@@ -283,6 +276,24 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return made.select("node", F.explode("to").alias("to"), "columns")
 
 
+def _maybe_marked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``docs`` without most rows whose mark is not among the wanted ones.
+
+    Marks set bits of a map of fixed size, 1 MB in 256 rows, which is broadcast; a row
+    with a wanted mark always stays. The texts of the others are not shuffled.
+    """
+    bit = F.pmod("mark", F.lit(_MARK_BITS))
+    row, at = F.shiftright(bit, 15).alias("__row"), F.pmod(bit, F.lit(1 << 15))
+    maps = wanted.select(row, at.alias("at")).groupBy("__row").agg(
+        F.bitmap_construct_agg("at").alias("__map")
+    )
+    byte = F.substring("__map", F.floor(at / 8).cast("int") + 1, F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    is_set = F.floor(value / F.pow(F.lit(2), F.pmod(at, F.lit(8)))) % 2 == 1
+    found = docs.withColumn("__row", row).join(F.broadcast(maps), "__row").where(is_set)
+    return found.select(*docs.columns)
+
+
 # Tasks: numpy over Arrow batches.
 
 
