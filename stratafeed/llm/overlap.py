@@ -38,6 +38,8 @@ _PIECES = 64
 _MARK_BITS = 1 << 23
 #: A turn takes place if it has at least this part of the first turn's pairs.
 _FEW = 8
+#: Partners of a row that are compared with it in one place.
+_PARTNERS = 256
 
 
 class Joined(NamedTuple):
@@ -69,16 +71,16 @@ def join(
     ``star_rounds`` bounds the pivot rounds only, not what they leave to the last step.
     Each of them and that step shuffles the texts once unless the pairs are few.
     """
-    docs = df.select(
-        F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text")
-    )
+    # A row's mark is a hash of its key and text; equal rows have one.
+    mark = F.xxhash64(F.col(key).isNull(), key, text)
+    docs = df.select(F.col(key).alias("key"), mark.alias("mark"), F.col(text).alias("text"))
     rows = stored(_rows(docs, words), "rows")
-    # A node's own row: the least key, and its text's hash as keys may repeat.
+    # A node's own row: the least key, and the row's mark as keys may repeat.
     nodes = stored(
         rows.where("node IS NOT NULL")
         .groupBy("node", "n")
         .agg(F.min("key").alias("rep"), F.min(F.struct(F.col("key").isNull(), "key", "mark")).alias("own"))
-        .select("node", "n", "rep", F.col("own.key").alias("key"), F.col("own.mark").alias("mark")),
+        .select("node", "n", "rep", F.col("own.mark").alias("mark")),
         "nodes",
     )
     rank = _frequencies(docs, words)
@@ -241,39 +243,33 @@ def _open_pairs(postings, groups, tested, percent) -> DataFrame:
 def _verified(pairs, docs, nodes, words: int, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``; stored) whose complete rows overlap enough.
 
-    Each ``a`` has few ``b``; its row is made from its text where its pairs need it and
-    sent to each of these.
+    The text of each ``a`` is sent to its ``b``, and the rows are made and multiplied
+    there: a text takes fewer bytes than its row of columns. A ``b`` with many ``a`` is
+    sent to several places, each with about ``_PARTNERS`` of these.
     """
-    sent = pairs.select(F.col("a").alias("node"), F.col("b").alias("to"))
+    places = pairs.groupBy("b").agg(F.ceil(F.count("*") / _PARTNERS).alias("places"))
+    left = pairs.join(places, "b").select(
+        F.col("a").alias("node"),
+        F.col("b").alias("to"),
+        F.pmod(F.xxhash64("a"), "places").alias("place"),
+        F.lit(True).alias("partner"),
+    )
+    right = places.select(
+        F.col("b").alias("node"),
+        F.col("b").alias("to"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("places") - 1)).alias("place"),
+        F.lit(False).alias("partner"),
+    )
     # Stored, so that Spark knows its size and spares the texts a shuffle if it is small.
-    left = stored(sent.join(nodes, "node").select("key", "mark", "node", "to"), "wanted")
-    right = pairs.select(F.col("b").alias("node")).distinct().join(nodes, "node")
-    right = stored(right.select("key", "mark", "node", F.col("node").alias("to")), "wanted")
-    x = _sets(docs, left, words).select(F.col("node").alias("a"), "to", F.col("columns").alias("x"))
-    y = _sets(docs, right, words).select("to", F.col("columns").alias("y"))
-    both = x.join(y, "to")
-    overlap = F.size(F.array_intersect("x", "y"))
-    # 100 * overlap >= percent * (n + m - overlap)
-    enough = (100 + percent) * overlap >= percent * (F.size("x") + F.size("y"))
-    return both.where(enough).select("a", F.col("to").alias("b"))
-
-
-def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``wanted`` with the complete row of columns of each node."""
-    grouped = wanted.groupBy("key", "mark", "node").agg(F.collect_list("to").alias("to"))
-    texts = (
-        _maybe_marked(docs, wanted)
-        .alias("d")
-        .join(
-            grouped.alias("w"),
-            F.col("d.key").eqNullSafe(F.col("w.key")) & (F.col("d.mark") == F.col("w.mark")),
-        )
-        .select("w.node", "w.to", "d.text", "d.key", "d.mark")
-        .dropDuplicates(["key", "mark"])
-        .select("node", "to", "text")
+    wanted = stored(left.unionByName(right).join(nodes.select("node", "mark"), "node"), "wanted")
+    texts = _maybe_marked(docs, wanted).select("mark", "text").dropDuplicates(["mark"])
+    met = (
+        texts.join(wanted, "mark")
+        .select("to", "place", "partner", "node", "text")
+        .repartition("to", "place")
+        .sortWithinPartitions("to", "place", "partner")
     )
-    made = texts.mapInArrow(_set_task(words), "node long, to array<long>, columns array<long>")
-    return made.select("node", F.explode("to").alias("to"), "columns")
+    return met.mapInArrow(_overlap_task(words, percent), "a long, b long")
 
 
 def _maybe_marked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -430,17 +426,32 @@ def _leading(docs: DataFrame, words: int, percent: int, rank: np.ndarray) -> Dat
     return docs.mapInArrow(lead, "node long, n long, leading array<long>")
 
 
-def _set_task(words: int):
-    def make(batches):
+def _overlap_task(words: int, percent: int):
+    """Links between each row that is no partner and the partners behind it."""
+
+    def run(batches):
         hasher = _text.Hasher()
+        here, row = None, None
         for batch in batches:
             for part, data, offsets in _text.slices(batch, "text"):
-                sets = list(_sets_of(data, offsets, words, hasher))
+                places = part.select(["to", "place", "partner", "node"]).to_pylist()
+                linked = []
+                for at, own in zip(places, _sets_of(data, offsets, words, hasher), strict=True):
+                    if not at["partner"]:
+                        here, row = (at["to"], at["place"]), own
+                        continue
+                    if here != (at["to"], at["place"]):
+                        raise ValueError("a partner without its row")
+                    overlap = len(np.intersect1d(row, own, assume_unique=True))
+                    # 100 * overlap >= percent * (n + m - overlap)
+                    if (100 + percent) * overlap >= percent * (len(row) + len(own)):
+                        linked.append((at["node"], at["to"]))
+                a, b = zip(*linked) if linked else ((), ())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), _lists(sets)], ["node", "to", "columns"]
+                    [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]
                 )
 
-    return make
+    return run
 
 
 def _lists(sets: list[np.ndarray]) -> pa.ListArray:
