@@ -9,6 +9,7 @@ import shutil
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratafeed.plans import layers, refresh_sql_table, run_sql_table
 from stratafeed.plans.layers import Lake
@@ -24,6 +25,7 @@ from stratafeed.schemas import (
 from stratafeed.sources import files, keyed
 from stratafeed.sources.catalog import load_query
 from stratafeed.streaming import run_incremental
+from stratafeed.streaming.incremental import clean_batch
 
 TODAY = dt.date(2023, 1, 10)
 
@@ -465,3 +467,34 @@ def test_match_lines_that_do_not_parse_are_kept_apart(spark, feed):
     apart = spark.read.parquet(f"{feed.lake.bronze(MATCHES)}/malformed").collect()
     assert sorted(r.text for r in apart) == sorted([cut, typed])
     assert all(r.file.endswith("lines.json") for r in apart)
+
+
+def test_growing_ids_are_not_broadcast(spark, folder, monkeypatch):
+    lake = layers.Lake(folder)
+    files.append_parquet(
+        spark.range(50).select(F.col("id").cast("int").alias("GameId")),
+        f"{lake.raw('payload_ids')}/batch=0",
+    )
+    rows = spark.createDataFrame([match(g, "2023-01-01", "2023-01-02T00:00:00") for g in range(60)], MATCH_SCHEMA)
+    for number in range(2):
+        keyed.write_increment(clean_batch(rows, MATCHES), lake.bronze(MATCHES), number)
+        if number == 0:
+            keyed.compact(spark, lake.bronze(MATCHES), MATCHES)
+    monkeypatch.setattr(keyed, "_MOST_BROADCAST", 0)
+    current = keyed.read_current(spark, lake.bronze(MATCHES), MATCHES)
+    docs = spark.range(60).select(F.struct(F.col("id").cast("int").alias("GameId")).alias("Game"))
+    landed = layers._landed_ids(spark, lake)
+    fresh = files.select_landable(docs, landed, "Game.GameId", "GameId")
+    for df in (current, fresh, layers.details_to_fetch(spark, lake)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    assert current.count() == 60 and sorted(r.Game.GameId for r in fresh.collect()) == list(range(50, 60))
+
+
+def test_documents_are_ranked_after_their_shuffle(spark):
+    docs = spark.range(60).select(F.struct(F.col("id").cast("int").alias("GameId")).alias("Game"))
+    landed = spark.range(50).select(F.col("id").cast("int").alias("GameId"))
+    fresh = files.select_landable(docs.unionAll(docs), landed, "Game.GameId", "GameId")
+    text = fresh._jdf.queryExecution().executedPlan().toString()
+    # Printed from the last step to the first.
+    assert text.rindex("WindowGroupLimit") < text.index("Exchange")
+    assert sorted(r.Game.GameId for r in fresh.collect()) == list(range(50, 60))
