@@ -317,6 +317,28 @@ def test_only_folders_of_changed_games_are_written(spark, folder):
     assert sum(before[n] != after[n] for n in before) == 1
 
 
+def test_partial_rows_of_a_folder_are_written_by_several_tasks(spark, folder):
+    rows = spark.range(400).select(
+        F.lit(1).alias("k"), F.lit("a").alias("name"), F.col("id").cast("int").alias("game"),
+        F.lit(1).alias("at"), F.lit(1.0).alias("x"),
+    )
+    path = f"{folder}/partials"
+    stored, _ = stored_partials.refresh_partials(
+        spark, path, f"{folder}/w", rows, rows, SPEC, 2, rows_per_file=20
+    )
+    sizes = [r["count"] for r in stored.groupBy("_metadata.file_path").count().collect()]
+    assert stored.count() == 400 and len(sizes) > 8 and max(sizes) < 100
+
+
+def test_documents_are_compressed_in_files_of_bounded_size(spark, folder):
+    docs = spark.range(50).select(F.struct(F.col("id").cast("int").alias("GameId")).alias("Game"))
+    files.write_documents(docs.coalesce(1), f"{folder}/d", per_file=20)
+    names = [n for n in os.listdir(f"{folder}/d") if n.startswith("part-")]
+    assert len(names) == 3 and all(n.endswith(".gz") for n in names)
+    back = files.read_payloads(spark, f"{folder}/d", docs.schema, one_per_file=False)
+    assert sorted(r.Game.GameId for r in back.collect()) == list(range(50))
+
+
 def test_a_corrected_entry_renames_its_player(spark, folder):
     """Through all layers: the new name takes the game, the old one keeps its others."""
     feed = Feed(spark, folder)
