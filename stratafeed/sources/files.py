@@ -259,12 +259,22 @@ def footer_bounds(spark: SparkSession, path: str, day: str) -> DataFrame:
     return days.agg(F.min(day).alias("min_day"), F.max(day).alias("max_day"))
 
 
-def write_documents(df: DataFrame, path: str) -> None:
-    """Append each row as one line holding a JSON array of one document."""
+def write_documents(df: DataFrame, path: str, per_file: int = 200_000) -> None:
+    """Append each row as one line holding a JSON array of one document.
+
+    Field names make up most of the text, so files are compressed; ``per_file`` documents
+    at most keep one, which a reader cannot split, to the work of a short task.
+    """
     document = F.to_json(
         F.array(F.struct(*df.columns)), {"timestampNTZFormat": JSON_NTZ_FORMAT}
     )
-    df.select(document.alias("value")).write.mode("append").text(path)
+    (
+        df.select(document.alias("value"))
+        .write.mode("append")
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", per_file)
+        .text(path)
+    )
 
 
 def each_once(
