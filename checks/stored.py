@@ -59,7 +59,15 @@ def payload_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = new_folder(spark, "payload_documents")
     text = F.to_json(F.array(F.struct("Game", "Maps")), {"pretty": "true"})
-    docs.select(text).write.option("maxRecordsPerFile", 1).text(path)
+    # One file a row is written by all tasks, each of which also puts its own in place.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (
+        docs.select(text)
+        .repartition(tasks)
+        .write.option("maxRecordsPerFile", 1)
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        .text(path)
+    )
     read = files.read_payloads(spark, path, T.StructType(docs.schema.fields))
     return read.select("Game.*", F.explode("Maps").alias("m")).select(
         "GameId", "TeamAName", "m.Number", "m.Balance"
