@@ -317,6 +317,48 @@ def test_near_pairs_against_brute_force(spark):
     assert got <= near and lost <= 0.05 * len(prints)
 
 
+def test_near_pairs_that_no_band_holds(spark):
+    """Differences that hit every band, in fewer than a fifth of the symbols."""
+    rng = np.random.default_rng(11)
+    task = edits._band_task(0.8, 24, 6)
+
+    def banded(prints):
+        batch = pa.RecordBatch.from_pydict({"node": list(range(len(prints))), "fingerprint": prints})
+        out = [set() for _ in prints]
+        for got in task([batch]):
+            for node, band in zip(*(c.to_pylist() for c in got.columns), strict=True):
+                out[node].add(band)
+        return out
+
+    symbols = "".join("0123456789abcdef"[i] for i in rng.integers(0, 16, 300))
+    changed, other = "0:" + symbols, lambda c: "1" if c == "0" else "0"
+    own = banded([changed])[0]
+    while own & banded([changed])[0]:
+        tries = [changed[:i] + other(symbols[i - 2]) + changed[i + 1 :] for i in range(2, 302)]
+        changed = min(zip((len(own & b) for b in banded(tries)), tries, strict=True))[1]
+    prints = ["0:" + symbols, changed]
+    like = edits.likeness(*(edits.parse(p) for p in prints), edits.Walker())
+    assert 0.8 <= like < 1
+    df = spark.createDataFrame(list(enumerate(prints)), "k long, fingerprint string")
+    assert [(r.a, r.b) for r in edits.near_pairs(df, "k").collect()] == [(0, 1)]
+
+
+def test_blocks_hold_every_pair_of_lengths():
+    rng = np.random.default_rng(12)
+    for n in [*range(1, 40), 77, 96, 127, 128, 161, 250, 300, 511]:
+        for shorter in {max(1, -(-4 * n // 5)), n}:
+            long = rng.integers(0, 16, n).astype(np.uint8)
+            short = long[:shorter].copy()
+            wrong = int(shorter - 0.8 * n + 1e-6)
+            at = np.linspace(0, shorter - 1, wrong).astype(int) if wrong else []
+            short[at] = (short[at] + 1) % 16
+            keys = [
+                {k for b in edits._blocks(len(s), 0.8) for k in edits._block_keys(s, 0, b).tolist()}
+                for s in (long, short)
+            ]
+            assert keys[0] & keys[1], (n, shorter)
+
+
 def test_licences(spark, odd):
     mit = ". ".join(licences.SENTENCES[s] for s in ("mit-grant", "mit-notice", "as-is")) + "."
     rows = [
