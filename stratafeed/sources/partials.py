@@ -27,7 +27,7 @@ def refresh_partials(
     changed: DataFrame,
     measures: Measures,
     buckets: int,
-    rows_per_file: int = 500_000,
+    rows_per_file: int = 200_000,
 ) -> tuple[DataFrame, DataFrame] | None:
     """Replace the partial rows of the parts in ``changed``; ``current`` has all rows.
 
