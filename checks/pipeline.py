@@ -115,19 +115,46 @@ def match_rows(
 
 
 def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Only what a line has of its own is shuffled; maps are made of it afterwards.
+    line = F.struct(
+        "l_linenumber",
+        "l_returnflag",
+        "l_quantity",
+        "l_suppkey",
+        "l_orderkey",
+        F.date_format("l_shipdate", ISO).alias("shipped"),
+    )
+    lines = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_orderkey")
+        .agg(F.collect_list(line).alias("lines"))
+    )
+    game = F.struct(
+        F.col("o_orderkey").cast("int").alias("GameId"),
+        F.col("o_orderpriority").alias("TeamAName"),
+        F.col("o_orderstatus").alias("TeamBName"),
+    )
+    orders = table(spark, sf_dir, "orders").hint("merge")
+    return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        game.alias("Game"), F.transform("lines", _map_of).alias("Maps")
+    )
+
+
+def _map_of(line: Column) -> Column:
+    """The map that stands for a line, with its one player."""
     given = {
-        "PlayerId": F.col("l_suppkey"),
+        "PlayerId": line["l_suppkey"],
         "TeamId": F.lit(1),
         "Name": F.lit("player"),
-        "MatchName": F.concat(F.lit("p"), F.col("l_suppkey")),
+        "MatchName": F.concat(F.lit("p"), line["l_suppkey"]),
         "Team": F.lit("x"),
         "IsClosed": F.lit(True),
-        "GameId": F.col("l_orderkey"),
+        "GameId": line["l_orderkey"],
         "OpponentId": F.lit(2),
         "Opponent": F.lit("y"),
-        "DateTime": F.date_format("l_shipdate", ISO),
-        "UpdatedUtc": F.date_format("l_shipdate", ISO),
-        "Kills": F.col("l_quantity"),
+        "DateTime": line["shipped"],
+        "UpdatedUtc": line["shipped"],
+        "Kills": line["l_quantity"],
     }
     entry = F.struct(
         *[
@@ -136,23 +163,9 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             if f.name in given
         ]
     )
-    one_map = F.struct(
-        F.col("l_linenumber").alias("Number"),
-        F.col("l_returnflag").alias("Name"),
-        F.col("l_quantity").cast("int").alias("CurrentRound"),
+    return F.struct(
+        line["l_linenumber"].alias("Number"),
+        line["l_returnflag"].alias("Name"),
+        line["l_quantity"].cast("int").alias("CurrentRound"),
         F.array(entry).alias("Leaderboards"),
     )
-    maps = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(F.collect_list(one_map).alias("Maps"))
-    )
-    game = F.struct(
-        F.col("o_orderkey").cast("int").alias("GameId"),
-        F.col("o_orderpriority").alias("TeamAName"),
-        F.col("o_orderstatus").alias("TeamBName"),
-    )
-    orders = table(spark, sf_dir, "orders").hint("merge")
-    return orders.join(maps, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        game.alias("Game"), "Maps"
-    )

@@ -54,40 +54,29 @@ def flatten_details(payloads: DataFrame) -> DataFrame:
     ``flatten_leaderboards`` gives and is null for maps. Written by ``kind``, each
     folder can be read as a table of its own.
     """
-    game, empty = F.col("Game"), F.array()
-    of_game = [game.getField(n).alias(n) for n in GAME_FIELDS]
     element = payloads.select("Maps").schema[0].dataType.elementType
     own = [f.name for f in element if not isinstance(f.dataType, T.ArrayType)]
     entry_type = element["Leaderboards"].dataType.elementType
-
-    def map_row(m: Column) -> Column:
-        return F.struct(*[m.getField(f).alias(f) for f in own], *of_game)
-
-    def entry_row(m: Column, e: Column) -> Column:
-        fields = [e.getField(f.name).alias(f.name) for f in entry_type]
-        return F.struct(*fields, m.getField("Name").alias("MapName"))
-
-    maps = F.transform("Maps", map_row)
-    entries = F.flatten(
-        F.transform(
-            "Maps",
-            lambda m: F.coalesce(
-                F.transform(m.getField("Leaderboards"), lambda e: entry_row(m, e)), empty
-            ),
-        )
+    m, slot, entry = F.col("__map"), "__slot", "__entry"
+    maps = payloads.select(
+        *[F.col(f"Game.{n}").alias(n) for n in GAME_FIELDS], F.explode("Maps").alias("__map")
     )
-    arrays = payloads.select(maps.alias("maps"), entries.alias("entries"))
-    map_type, entry_type = (f.dataType.elementType for f in arrays.schema)
-    no_map, no_entry = F.lit(None).cast(map_type), F.lit(None).cast(entry_type)
-    tagged = F.concat(
-        F.transform("maps", lambda m: _tagged(MAP, m, no_entry)),
-        F.transform("entries", lambda e: _tagged(ENTRY, no_map, e)),
+    # The first slot of a map is the map itself, the others are its entries. Lambdas over
+    # the arrays would be interpreted, row by row; generators are compiled.
+    first = F.array(F.lit(None).cast(entry_type))
+    slots = F.concat(first, F.coalesce(m.getField("Leaderboards"), F.array()))
+    of_map = F.struct(*[m.getField(f).alias(f) for f in own], *GAME_FIELDS)
+    rows = maps.select(of_map.alias(MAP), slots.alias("__slots")).select(
+        MAP, F.posexplode("__slots").alias(slot, entry)
+    )
+    is_map = F.col(slot) == 0
+    fields = [F.col(entry).getField(f.name).alias(f.name) for f in entry_type]
+    of_entry = F.struct(*fields, F.col(MAP).getField("Name").alias("MapName"))
+    return rows.select(
+        F.when(is_map, F.lit(MAP)).otherwise(F.lit(ENTRY)).alias("kind"),
+        F.when(is_map, F.col(MAP)).alias(MAP),
+        F.when(~is_map, of_entry).alias(ENTRY),
     )
-    return arrays.select(F.explode(tagged).alias("row")).select("row.*")
-
-
-def _tagged(kind: str, of_map: Column, entry: Column) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), of_map.alias(MAP), entry.alias(ENTRY))
 
 
 def flatten_maps(payloads: DataFrame) -> DataFrame:

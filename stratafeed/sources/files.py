@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +28,7 @@ CORRUPT = "_corrupt_record"
 FILE = "__file"
 #: Partition column of a feed that is kept by day.
 DAY_FOLDER = "day_folder"
-_DIGEST, _DONE, _PIECES = "__digest", "__done", "__pieces"
+_COPIES, _DIGEST, _DONE, _PIECES = "__copies", "__digest", "__done", "__pieces"
 
 
 def with_corrupt(schema: T.StructType) -> T.StructType:
@@ -309,9 +309,13 @@ def select_landable(
     path: str,
     key: str,
     order: Sequence[str] | None = None,
+    waits: str | None = None,
 ) -> DataFrame:
     """Payloads to land: not empty, each id once, not among the ids of ``landed``.
 
+    Those with the flag ``waits``, the same for all copies of an id, are given whether
+    landed or not; rows come in its order, so that a write by it sorts nothing.
+
     What has landed is left out first, by ids; only the others are compared. Ids are
     shuffled to the documents (``by_id``), not broadcast, and documents are sorted there,
     not in splits of files, however large these are.
@@ -321,19 +325,25 @@ def select_landable(
         # An anti-join would be moved below the shuffle, and shuffle by itself.
         done = landed.select(key).distinct().withColumn(_DONE, F.lit(True))
         fresh = fresh.join(done.hint("shuffle_hash"), key, "left")
-        fresh = fresh.where(F.col(_DONE).isNull()).drop(_DONE)
-    return _one_per_id(fresh, key, order).select(*payloads.columns)
+        is_open = F.col(_DONE).isNull()
+        fresh = fresh.where(is_open if waits is None else is_open | F.col(waits)).drop(_DONE)
+    apart = [] if waits is None else [waits]
+    return _one_per_id(fresh, key, order, apart).select(*payloads.columns)
 
 
 def _one_per_id(
-    present: DataFrame, key: str, order: Sequence[str] | None
+    present: DataFrame, key: str, order: Sequence[str] | None, apart: Sequence[str] = ()
 ) -> DataFrame:
+    """``apart`` names columns that are the same for all copies of an id, to sort by first."""
+    groups = [*apart, key]
     if order is not None:
-        return latest_version(present, [key], None, order)
-    digest = F.sha2(F.to_json(F.struct(*present.columns)), 256)
-    return latest_version(
-        present.withColumn(_DIGEST, digest), [key], None, [_DIGEST]
-    ).drop(_DIGEST)
+        return latest_version(present, groups, None, order)
+    # Only copies are compared, so that a document that has none is not made text again.
+    copies = F.count("*").over(Window.partitionBy(*groups))
+    whole = F.struct(*[c for c in present.columns if c not in apart])
+    digest = F.when(F.col(_COPIES) > 1, F.sha2(F.to_json(whole), 256))
+    marked = present.withColumn(_COPIES, copies).withColumn(_DIGEST, digest)
+    return latest_version(marked, groups, None, [_DIGEST]).drop(_COPIES, _DIGEST)
 
 
 def ids_of(payloads: DataFrame, path: str, key: str) -> DataFrame:

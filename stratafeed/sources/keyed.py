@@ -15,6 +15,7 @@ written once by an ordinary write job and count only when that job committed.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import latest_version
@@ -51,7 +52,8 @@ def read_current(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     if increments:
         changes = _winners(spark, path, spec, increments)
     if stored is None and changes is None:
-        return spark.createDataFrame([], schema)
+        # The condition tells the planner that it is empty.
+        return spark.createDataFrame([], schema).where(F.lit(False))
     if stored is None or changes is None:
         return changes if stored is None else stored
     return upsert(

@@ -49,7 +49,7 @@ def refresh_partials(
         return None
     fresh = partials_of(current, parts, measures)
     fresh = _stored(fresh.withColumn(BUCKET, in_bucket(part, buckets)), f"{work}/fresh")
-    old = spark.createDataFrame([], fresh.schema)
+    old = fresh.where(F.lit(False))
     if exists(spark, path):
         old = spark.read.schema(fresh.schema).parquet(path).where(F.col(BUCKET).isin(numbers))
     keys, before = touched_keys(old, fresh, parts, measures), f"{work}/keys"

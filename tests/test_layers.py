@@ -498,3 +498,25 @@ def test_documents_are_ranked_after_their_shuffle(spark):
     # Printed from the last step to the first.
     assert text.rindex("WindowGroupLimit") < text.index("Exchange")
     assert sorted(r.Game.GameId for r in fresh.collect()) == list(range(50, 60))
+
+
+def test_early_payloads_are_parsed_with_the_others(spark, feed, monkeypatch):
+    from stratafeed.streaming.incremental import finish, start
+
+    bronze_match(spark, feed, 1)
+    for game in (1, 2, 3, 3):
+        feed.deliver(f"{game}-{len(os.listdir(feed.inbox))}", payload(game, one_map(1, "dust")))
+    read = []
+
+    def watched(stream, store, checkpoint):
+        query = start(stream, store, checkpoint)
+        finish([query])
+        read.extend(p["numInputRows"] for p in query.recentProgress)
+
+    monkeypatch.setattr(layers, "drain", watched)
+    layers.land_details(spark, feed.lake, feed.inbox)
+    assert sum(read) == 4
+    waiting = spark.read.parquet(feed.lake.raw("payloads_waiting"))
+    assert sorted(r.Game.GameId for r in waiting.collect()) == [2, 3]
+    assert [r.gameId for r in layers.landed_manifest(spark, feed.lake).collect()] == [1]
+    assert folders(feed, "payloads_staged") == []
