@@ -183,8 +183,9 @@ class Encoder:
         places = np.fromiter(map(self.seen.get, chunks, repeat(-1)), np.int64, len(chunks))
         open_ = np.flatnonzero(places < 0)
         if len(open_):
-            self._learn(list(dict.fromkeys(chunks[i] for i in open_)))
-            places[open_] = [self.seen[chunks[i]] for i in open_]
+            unknown = [chunks[i] for i in open_.tolist()]
+            self._learn(list(dict.fromkeys(unknown)))
+            places[open_] = np.fromiter(map(self.seen.get, unknown), np.int64, len(unknown))
         return places
 
     def _learn(self, new: list[bytes]):
@@ -246,16 +247,22 @@ class Encoder:
         return edges[order], piece[order]
 
     def _bound(self, keys, suffixes, pieces, right: bool):
-        """Binary search of every piece among the sorted suffixes."""
-        n = len(suffixes)
-        lo = np.zeros(len(pieces[0]), np.int64)
-        hi = np.full(len(pieces[0]), n, np.int64)
-        for _ in range(n.bit_length()):
-            open_ = lo < hi
+        """Binary search of every piece among the sorted suffixes.
+
+        The first key finds the pieces that fit in it, and bounds the search for longer ones.
+        """
+        first = keys[0][suffixes]
+        low = np.searchsorted(first, pieces[0], "left")
+        high = np.searchsorted(first, pieces[0], "right")
+        out = high if right else low
+        long = np.flatnonzero((self.sizes > 8) & (low < high))
+        lo, hi, last = low[long], high[long], len(suffixes) - 1
+        rest = [piece[long] for piece in pieces[1:]]
+        while (open_ := lo < hi).any():
             middle = (lo + hi) // 2
-            at = suffixes[np.minimum(middle, n - 1)]
+            at = suffixes[np.minimum(middle, last)]
             below, same = np.zeros(len(lo), bool), np.ones(len(lo), bool)
-            for key, piece in zip(keys, pieces, strict=True):
+            for key, piece in zip(keys[1:], rest, strict=True):
                 k = key[at]
                 below |= same & (k < piece)
                 same &= k == piece
@@ -263,7 +270,8 @@ class Encoder:
                 below |= same
             lo = np.where(open_ & below, middle + 1, lo)
             hi = np.where(open_ & ~below, middle, hi)
-        return lo
+        out[long] = lo
+        return out
 
     def _relax(self, joined, start, end, edges, piece):
         scores = np.append(self.scores[piece], -np.inf)
