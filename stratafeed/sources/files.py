@@ -26,6 +26,8 @@ JSON_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 CORRUPT = "_corrupt_record"
 #: Column that keeps the file of a row whose text may have to be kept.
 FILE = "__file"
+#: Bytes of a row group of raw rows, which one task reads as a whole.
+ROW_GROUP_BYTES = 32 << 20
 #: Partition column of a feed that is kept by day.
 DAY_FOLDER = "day_folder"
 _COPIES, _DIGEST, _DONE, _PIECES = "__copies", "__digest", "__done", "__pieces"
@@ -157,7 +159,8 @@ def append_json(df: DataFrame, path: str) -> None:
 
 
 def append_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+    """Append rows in row groups of bounded size: a split of a file holds whole ones."""
+    df.write.mode("append").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
 
 
 def overwrite_partitions(

@@ -7,6 +7,7 @@ import json
 import os
 import threading
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -369,3 +370,37 @@ def test_a_load_that_is_repeated_adds_nothing(spark, folder):
     # Nothing newer: the frontier is told by the folders.
     layers.load_matches(spark, feed.lake, landing, "new", dt.date(2023, 1, 20))
     assert raw.count() == 2
+
+
+def test_splits_of_a_stream_are_bounded(spark, folder, monkeypatch):
+    from stratafeed.schemas import TableSpec
+    from stratafeed.streaming import incremental
+
+    monkeypatch.setattr(incremental, "_SPLIT_BYTES", 1 << 10)
+    name, seen = "spark.sql.files.maxPartitionBytes", []
+    rows = spark.range(1000).selectExpr("id", "id AS v").coalesce(1)
+    rows.write.parquet(f"{folder}/in")
+    clean = incremental.clean_batch
+
+    def watched(batch, spec):
+        seen.append(batch.rdd.getNumPartitions())
+        return clean(batch, spec)
+
+    monkeypatch.setattr(incremental, "clean_batch", watched)
+    before = spark.conf.get(name)
+    stream = files.stream_parquet(spark, f"{folder}/in", rows.schema)
+    spec = TableSpec("t", rows.schema, ("id",))
+    incremental.run_incremental(spark, stream, f"{folder}/t", spec)
+    # The session has its own setting again.
+    assert seen[0] > 2 and spark.conf.get(name) == before
+
+
+def test_raw_rows_lie_in_bounded_row_groups(spark, folder, monkeypatch):
+    from pyarrow import parquet
+
+    monkeypatch.setattr(files, "ROW_GROUP_BYTES", 1 << 16)
+    rows = spark.range(100_000).selectExpr("xxhash64(id) AS k").coalesce(1)
+    files.append_parquet(rows, f"{folder}/raw")
+    (part,) = Path(f"{folder}/raw").glob("*.parquet")
+    assert parquet.ParquetFile(part).num_row_groups > 2
+    assert spark.read.parquet(f"{folder}/raw").distinct().count() == 100_000
