@@ -12,9 +12,14 @@ multiplied in full.
 Components need no complete product. Equal rows are merged beforehand, whatever their
 number. Then each leading column names one of its rows as pivot, and each row is multiplied by
 the pivot that it shares most leading columns with; what links becomes one component,
-and pairs within a component are never formed. Rounds with other pivots follow while
-they find links, and the pairs between components that remain are multiplied in full. No
-pair is left out.
+and pairs within a component are never formed. Rounds with other pivots follow while they
+find links, and the pairs between components that remain are multiplied in full. No pair
+is left out: a round drops a column from a row only if no row of another component has it
+at a place and with a size that leave a link possible.
+
+Leading columns are held as *entries*: the upper 48 bits of a column's hash and, in the
+lower 16, its place in the row. Columns that agree in these bits only, and places beyond
+the last that fits, may add candidates and never lose one; the product compares all bits.
 """
 
 from __future__ import annotations
@@ -34,8 +39,12 @@ from .graph import components, stored
 #: Counters of the frequency sketch, a byte each. Its size does not follow the data.
 COUNTERS = 1 << 23
 _PIECES = 64
-#: Bits of the map of wanted texts; 256 rows of 2**15 bits.
-_MARK_BITS = 1 << 23
+#: Bits of the map of wanted texts, in rows of 2**15 bits: eight for each text within
+#: these bounds, of which the upper one is 8 MB.
+_MARK_BITS = 1 << 23, 1 << 26
+#: Lower bits of an entry, its place.
+_PLACE_BITS = 16
+_LAST_PLACE = (1 << _PLACE_BITS) - 1
 #: A turn takes place if it has at least this part of the first turn's pairs.
 _FEW = 8
 #: Partners of a row that are compared with it in one place.
@@ -69,7 +78,7 @@ def join(
     columns of ``df`` are not read. N-grams are compared by 64-bit hashes.
 
     ``star_rounds`` bounds the pivot rounds only, not what they leave to the last step.
-    Each of them and that step shuffles the texts once unless the pairs are few.
+    Each of them and that step shuffles the texts of its pairs, and few others.
     """
     # A row's mark is a hash of its key and text; equal rows have one.
     mark = F.xxhash64(F.col(key).isNull(), key, text)
@@ -84,25 +93,27 @@ def join(
         "nodes",
     )
     rank = _frequencies(docs, words)
-    postings = stored(_postings(docs, words, percent, rank), "postings")
+    shared = stored(_shared(docs, words, percent, rank), "shared")
+    postings = shared.where("meets").drop("meets")
 
     links = tested = groups = None
     first = 0
     for turn in range(star_rounds):
-        pairs = stored(_pivot_pairs(postings, groups, tested, turn, percent), "pairs")
+        pairs = stored(_pivot_pairs(postings, tested, turn, percent), "pairs")
         # A turn reads all texts; a few pairs are left to the last step, which does so too.
         n_pairs = pairs.count()
         first = first or n_pairs
         if _FEW * n_pairs < first:
             break
-        found = stored(_verified(pairs, docs, nodes, words, percent), "found")
+        found = stored(_verified(pairs, docs, rows, nodes, words, percent), "found")
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
         if found.isEmpty():
             break
         groups = stored(components(links), "groups")
-    rest = stored(_open_pairs(postings, groups, tested, percent), "pairs")
-    found = stored(_verified(rest, docs, nodes, words, percent), "found")
+        postings = stored(_apart(postings, groups, percent), "postings")
+    rest = stored(_open_pairs(postings, shared, tested, percent), "pairs")
+    found = stored(_verified(rest, docs, rows, nodes, words, percent), "found")
     if groups is None or not found.isEmpty():
         links = found if links is None else links.unionByName(found)
         groups = components(links)
@@ -131,27 +142,45 @@ def _by_key(rows, nodes, links, groups, key):
     return documents, by_key
 
 
-def _postings(docs, words, percent, rank) -> DataFrame:
-    """(column, node, n, pos, lone) of the leading columns that several nodes share.
+def _shared(docs, words, percent, rank) -> DataFrame:
+    """(entry, node, n, lone, meets) of the leading columns that several nodes share.
 
-    ``pos`` counts the columns of the row before this one, shared or not; ``lone`` are
-    the leading columns that a node has for itself.
+    ``lone`` are the leading columns that a node has for itself, ``meets`` says whether
+    the column leaves a link possible. The place in an entry counts the columns of the
+    row before this one, shared or not.
     """
     entries = _leading(docs.select("text"), words, percent, rank)
-    entries = entries.select("node", "n", F.posexplode("leading").alias("pos", "column"))
+    entries = entries.select("node", "n", F.explode("leading").alias("entry"))
     # One exchange, after which a column that only one node has is dropped.
     own = Window.partitionBy("column")
-    shared = (
-        entries.repartition("column")
+    rows = (
+        _by_column(entries)
         .withColumns({"lo": F.min("node").over(own), "hi": F.max("node").over(own)})
         .where("lo < hi")
-        .select("column", "node", "n", "pos")
+    )
+    shared = (
+        _with_meets(rows, "node", percent)
+        .select("column", "entry", "node", "n", F.coalesce("meets", F.lit(False)).alias("meets"))
         .distinct()
+        .drop("column")
     )
     in_common = F.count("*").over(Window.partitionBy("node"))
     return shared.withColumn("lone", _n_leading(F.col("n"), percent) - in_common)
 
 
+def _column():
+    return F.shiftright("entry", _PLACE_BITS)
+
+
+def _place():
+    return F.col("entry").bitwiseAND(F.lit(_LAST_PLACE).cast("long"))
+
+
+def _by_column(rows: DataFrame) -> DataFrame:
+    """Rows with an entry, dealt by ``column``, which is added where they arrive."""
+    return rows.repartition(_column()).withColumn("column", _column())
+
+
 def _n_leading(n, percent: int):
     return n - F.ceil(percent * n / 100) + 1
 
@@ -167,22 +196,54 @@ def _reaches(x: str, y: str, percent: int):
     return (n - F.col(f"{x}pos") >= needed) & (m - F.col(f"{y}pos") >= needed)
 
 
-def _grouped(postings: DataFrame, groups: DataFrame | None) -> DataFrame:
-    if groups is None:
-        return postings.withColumn("root", F.col("node"))
-    return postings.join(groups, "node", "left").withColumn(
-        "root", F.coalesce("root", "node")
+def _with_meets(rows: DataFrame, by: str, percent: int) -> DataFrame:
+    """``meets``: whether the column's rows with another ``by`` leave a link possible.
+
+    As in ``_reaches``, a row of n columns links to one of m only if m is at most the
+    ``top`` of its place, and n that of the other. So the least m and the highest top of
+    the others are compared; if the least is of the row's own kind, the next takes its place.
+    """
+    own = Window.partitionBy("column")
+    top = F.floor((100 + percent) * (F.col("n") - _place()) / percent) - F.col("n")
+    rows = rows.withColumn("top", top)
+    rows = rows.withColumns(
+        {"lo": F.min(F.struct("n", by)).over(own), "hi": F.max(F.struct("top", by)).over(own)}
     )
+    below, above = (F.col(by) != F.col(f"{end}.{by}") for end in ("lo", "hi"))
+    rows = rows.withColumns(
+        {
+            "next_lo": F.min(F.when(below, F.col("n"))).over(own),
+            "next_hi": F.max(F.when(above, F.col("top"))).over(own),
+        }
+    )
+    least = F.when(below, F.col("lo.n")).otherwise(F.col("next_lo"))
+    most = F.when(above, F.col("hi.top")).otherwise(F.col("next_hi"))
+    return rows.withColumn("meets", (least <= F.col("top")) & (most >= F.col("n")))
+
+
+def _apart(postings: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """(entry, node, n, root) of the columns that leave a link of components possible.
+
+    The others can give no more pairs, as components only grow together.
+    """
+    rows = postings.select("entry", "node", "n").join(groups, "node", "left")
+    rows = _by_column(rows.withColumn("root", F.coalesce("root", "node")))
+    return _with_meets(rows, "root", percent).where("meets").select("entry", "node", "n", "root")
+
 
+def _root(postings: DataFrame):
+    """Its own node before the first groups."""
+    return F.col("root" if "root" in postings.columns else "node")
 
-def _pivot_pairs(postings, groups, tested, turn, percent) -> DataFrame:
+
+def _pivot_pairs(postings, tested, turn, percent) -> DataFrame:
     """For each node the pivot of another component that it shares most columns with.
 
     Every column has one pivot: in the first turn the row with the fewest leading columns
     for itself, which of a group of similar texts is the one most like all others, and in
     later ones any. Pairs that were tested in an earlier turn are left out.
     """
-    rows = _grouped(postings, groups)
+    rows = _by_column(postings).withColumns({"pos": _place(), "root": _root(postings)})
     first = F.col("lone") if turn == 0 else F.lit(0)
     order = F.struct(
         first.alias("f"), F.xxhash64("node", F.lit(turn)).alias("o"), "node", "n", "pos", "root"
@@ -209,17 +270,16 @@ def _untested(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
     return pairs.join(both, ["a", "b"], "left_anti")
 
 
-def _open_pairs(postings, groups, tested, percent) -> DataFrame:
+def _open_pairs(postings, shared, tested, percent) -> DataFrame:
     """All pairs of different components whose leading columns leave a link possible.
 
     A pair needs a column that may be the first it shares. Of the leading columns, the
     first block, c are the same; a row that links has no more common columns than c and
     those behind the leading ones of the larger row, ``ceil(t * n) - 1``.
     """
-    rows = _grouped(postings, groups).select("column", "node", "n", "pos", "root")
-    own = Window.partitionBy("column")
-    apart = {"lo": F.min("root").over(own), "hi": F.max("root").over(own)}
-    rows = rows.withColumns(apart).where("lo < hi").drop("lo", "hi")
+    rows = postings.select(
+        _column().alias("column"), "node", "n", _place().alias("pos"), _root(postings).alias("root")
+    )
     x, y = (rows.select("column", *[F.col(c).alias(f"{s}{c}") for c in rows.columns[1:]]) for s in "xy")
     met = x.join(y, "column").where(
         (F.col("xnode") < F.col("ynode"))
@@ -232,15 +292,19 @@ def _open_pairs(postings, groups, tested, percent) -> DataFrame:
         ),
         tested,
     )
-    leads = postings.groupBy("node").agg(F.collect_list("column").alias("columns"))
+    pairs = stored(pairs, "met")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    leads = shared.join(ends, "node", "left_semi").groupBy("node")
+    leads = leads.agg(F.collect_list(_column()).alias("columns"))
     counted = pairs.join(leads.toDF("a", "x"), "a").join(leads.toDF("b", "y"), "b")
     behind = F.ceil(percent * F.greatest("n", "m") / 100) - 1
-    c = F.size(F.array_intersect("x", "y"))
+    # Columns of a row that agree in their upper bits are one in the intersection.
+    c = F.size(F.array_intersect("x", "y")) + F.size("x") - F.size(F.array_distinct("x"))
     enough = (100 + percent) * (c + behind) >= percent * (F.col("n") + F.col("m"))
     return counted.where(enough).select("a", "b")
 
 
-def _verified(pairs, docs, nodes, words: int, percent: int) -> DataFrame:
+def _verified(pairs, docs, rows, nodes, words: int, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``; stored) whose complete rows overlap enough.
 
     The text of each ``a`` is sent to its ``b``, and the rows are made and multiplied
@@ -262,7 +326,11 @@ def _verified(pairs, docs, nodes, words: int, percent: int) -> DataFrame:
     )
     # Stored, so that Spark knows its size and spares the texts a shuffle if it is small.
     wanted = stored(left.unionByName(right).join(nodes.select("node", "mark"), "node"), "wanted")
-    texts = _maybe_marked(docs, wanted).select("mark", "text").dropDuplicates(["mark"])
+    texts = _maybe_marked(docs, wanted).select("mark", "text")
+    # Texts are shuffled once more only if a wanted row is repeated as a whole.
+    repeated = rows.join(wanted, "mark", "left_semi").groupBy("mark").count().where("count > 1")
+    if not repeated.isEmpty():
+        texts = texts.dropDuplicates(["mark"])
     met = (
         texts.join(wanted, "mark")
         .select("to", "place", "partner", "node", "text")
@@ -275,10 +343,14 @@ def _verified(pairs, docs, nodes, words: int, percent: int) -> DataFrame:
 def _maybe_marked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``docs`` without most rows whose mark is not among the wanted ones.
 
-    Marks set bits of a map of fixed size, 1 MB in 256 rows, which is broadcast; a row
-    with a wanted mark always stays. The texts of the others are not shuffled.
+    Marks set bits of a map of 1 to 8 MB, which is broadcast; a row with a wanted mark
+    always stays. The texts of the others are not shuffled.
     """
-    bit = F.pmod("mark", F.lit(_MARK_BITS))
+    bits, most = _MARK_BITS
+    enough = 8 * wanted.count()
+    while bits < min(enough, most):
+        bits *= 2
+    bit = F.pmod("mark", F.lit(bits))
     row, at = F.shiftright(bit, 15).alias("__row"), F.pmod(bit, F.lit(1 << 15))
     maps = wanted.select(row, at.alias("at")).groupBy("__row").agg(
         F.bitmap_construct_agg("at").alias("__map")
@@ -328,7 +400,7 @@ def _frequencies(docs: DataFrame, words: int) -> np.ndarray:
         return pa.RecordBatch.from_pydict(
             {
                 "piece": pa.array(numbers, pa.int32()),
-                "counts": pa.array([p.tobytes() for p in parts], pa.binary()),
+                "counts": pa.array(parts, pa.binary()),
             }
         )
 
@@ -341,20 +413,23 @@ def _frequencies(docs: DataFrame, words: int) -> np.ndarray:
                     at = own >> shift
                     # A counter stays at its highest value.
                     counts[at] += counts[at] < 255
-        yield batch_of(range(pieces), counts.reshape(pieces, -1))
+        # Most are small, which the codec of the shuffle makes little of.
+        packed = [pa.compress(p, codec="zstd") for p in counts.reshape(pieces, -1)]
+        yield batch_of(range(pieces), [p.to_pybytes() for p in packed])
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for piece, counts in zip(*batch.columns, strict=True):
-                new = np.frombuffer(counts.as_buffer(), np.uint8)
+                new = pa.decompress(counts.as_buffer(), counters // pieces, "zstd")
+                new = np.frombuffer(new, np.uint8)
                 number = piece.as_py()
                 if number not in sums:
                     sums[number] = np.zeros(len(new), np.int64)
                 sums[number] += new
         # The mean of a piece is that of all, but for chance.
         ranks = [
-            np.minimum(255, 24 * np.log2(1 + np.maximum(v - v.mean(), 0))).astype(np.uint8)
+            np.minimum(255, 24 * np.log2(1 + np.maximum(v - v.mean(), 0))).astype(np.uint8).tobytes()
             for v in sums.values()
         ]
         yield batch_of(list(sums), ranks)
@@ -395,7 +470,7 @@ def _rows(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _leading(docs: DataFrame, words: int, percent: int, rank: np.ndarray) -> DataFrame:
-    """(node, n, leading): the columns of each text that come first in the common order."""
+    """(node, n, leading): entries of each text's columns that come first in the common order."""
     ranks = docs.sparkSession.sparkContext.broadcast(rank)
     shift = np.uint64(64 - len(rank).bit_length() + 1)
 
@@ -409,9 +484,11 @@ def _leading(docs: DataFrame, words: int, percent: int, rank: np.ndarray) -> Dat
                 sets = {node: s for node, s in sets.items() if node not in seen}
                 seen.update(sets)
                 leads = [
-                    own[np.argsort(ranks.value[own >> shift], kind="stable")][
-                        : len(own) - (percent * len(own) + 99) // 100 + 1
-                    ]
+                    _entries(
+                        own[np.argsort(ranks.value[own >> shift], kind="stable")][
+                            : len(own) - (percent * len(own) + 99) // 100 + 1
+                        ]
+                    )
                     for own in sets.values()
                 ]
                 yield pa.RecordBatch.from_arrays(
@@ -426,6 +503,12 @@ def _leading(docs: DataFrame, words: int, percent: int, rank: np.ndarray) -> Dat
     return docs.mapInArrow(lead, "node long, n long, leading array<long>")
 
 
+def _entries(leading: np.ndarray) -> np.ndarray:
+    """The columns' upper bits and their places; the last place is that of all behind it."""
+    places = np.minimum(np.arange(len(leading)), _LAST_PLACE).astype(np.uint64)
+    return leading & ~np.uint64(_LAST_PLACE) | places
+
+
 def _overlap_task(words: int, percent: int):
     """Links between each row that is no partner and the partners behind it."""
 

@@ -136,3 +136,57 @@ def test_a_large_group_around_the_threshold(spark):
     for rounds in (4, 0):
         got = overlap.join(docs, "id", "text", star_rounds=rounds).documents.collect()
         assert {r.id: r.component_id for r in got} == {i: find(i) for i in range(len(texts))}
+
+
+def shuffled_bytes(spark, run):
+    """Bytes that the stages of ``run`` write to shuffles."""
+    sc = spark.sparkContext._jsc.sc()
+    none = spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+
+    def written():
+        sc.listenerBus().waitUntilEmpty(30_000)
+        stages = sc.statusStore().stageList(None, False, False, none, None)
+        stages = (stages.apply(i) for i in range(stages.size()))
+        return {(s.stageId(), s.attemptId()): s.shuffleWriteBytes() for s in stages}
+
+    before = written()
+    run()
+    return sum(n for stage, n in written().items() if stage not in before)
+
+
+def near_copies(groups, size):
+    """Groups of texts of 300 words of which each has a word of its own."""
+    rows = []
+    for g in range(groups):
+        words = [f"g{g}w{i}" for i in range(300)]
+        for c in range(size):
+            own = list(words)
+            own[(37 * c) % 300] = f"own{g}x{c}"
+            rows.append((g * size + c, " ".join(own)))
+    return rows
+
+
+def test_texts_and_columns_are_shuffled_few_times(spark):
+    """10.8 MB when each round shuffled all columns and every text went twice; 5.9 MB now."""
+    from stratafeed.llm import overlap
+
+    docs = spark.createDataFrame(near_copies(60, 12), "id long, text string").repartition(5)
+    got = []
+    moved = shuffled_bytes(spark, lambda: got.extend(overlap.join(docs, "id", "text").documents.collect()))
+    assert {r.id: r.component_id for r in got} == {i: i // 12 * 12 for i in range(720)}
+    assert moved < 8_000_000
+
+
+def test_places_beyond_the_last_and_repeated_rows(spark):
+    """Long texts that differ at columns behind the last place of an entry, and rows that
+    are repeated as a whole."""
+    from stratafeed.llm import overlap
+
+    words = [f"w{i}" for i in range(400_000)]
+    # Its own columns, and those before the first that both have, fill more than 2**16 places.
+    other = [f"x{i}" if i < 75_000 else w for i, w in enumerate(words)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:330_000])), (3, " ".join(other))]
+    rows += near_copies(1, 3)[:2] * 2
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    got = overlap.join(docs, "id", "text").documents.collect()
+    assert sorted((r.id, r.component_id) for r in got) == [(0, 0), (0, 0), (1, 0), (1, 0), (1, 1), (2, 1), (3, 3)]
