@@ -196,6 +196,25 @@ def _reaches(x: str, y: str, percent: int):
     return (n - F.col(f"{x}pos") >= needed) & (m - F.col(f"{y}pos") >= needed)
 
 
+def _enough(c, n, m, percent: int):
+    """Whether rows of n and m columns may link if at most c leading ones are the same.
+
+    They have no more common columns than c and those behind the leading ones of the
+    larger row, ``ceil(t * n) - 1``.
+    """
+    behind = F.ceil(percent * F.greatest(n, m) / 100) - 1
+    return (100 + percent) * (c + behind) >= percent * (n + m)
+
+
+def _share_enough(x: str, y: str, percent: int):
+    """``_enough`` by the columns that each row shares with any other."""
+    n, m = F.col(f"{x}n"), F.col(f"{y}n")
+    c = F.least(
+        _n_leading(n, percent) - F.col(f"{x}lone"), _n_leading(m, percent) - F.col(f"{y}lone")
+    )
+    return _enough(c, n, m, percent)
+
+
 def _with_meets(rows: DataFrame, by: str, percent: int) -> DataFrame:
     """``meets``: whether the column's rows with another ``by`` leave a link possible.
 
@@ -222,13 +241,13 @@ def _with_meets(rows: DataFrame, by: str, percent: int) -> DataFrame:
 
 
 def _apart(postings: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """(entry, node, n, root) of the columns that leave a link of components possible.
+    """(entry, node, n, lone, root) of the columns that leave a link of components possible.
 
     The others can give no more pairs, as components only grow together.
     """
-    rows = postings.select("entry", "node", "n").join(groups, "node", "left")
+    rows = postings.select("entry", "node", "n", "lone").join(groups, "node", "left")
     rows = _by_column(rows.withColumn("root", F.coalesce("root", "node")))
-    return _with_meets(rows, "root", percent).where("meets").select("entry", "node", "n", "root")
+    return _with_meets(rows, "root", percent).where("meets").drop("column", "top", "lo", "hi", "next_lo", "next_hi", "meets")
 
 
 def _root(postings: DataFrame):
@@ -246,11 +265,14 @@ def _pivot_pairs(postings, tested, turn, percent) -> DataFrame:
     rows = _by_column(postings).withColumns({"pos": _place(), "root": _root(postings)})
     first = F.col("lone") if turn == 0 else F.lit(0)
     order = F.struct(
-        first.alias("f"), F.xxhash64("node", F.lit(turn)).alias("o"), "node", "n", "pos", "root"
+        first.alias("f"),
+        F.xxhash64("node", F.lit(turn)).alias("o"),
+        *["node", "n", "lone", "pos", "root"],
     )
     near = (
         rows.withColumn("p", F.min(order).over(Window.partitionBy("column")))
         .where((F.col("p.root") != F.col("root")) & _reaches("", "p.", percent))
+        .where(_share_enough("", "p.", percent))
         .groupBy("node", F.col("p.node").alias("pivot"))
         .agg(F.count("*").alias("c"))
         .select(F.col("node").alias("a"), F.col("pivot").alias("b"), "c")
@@ -273,18 +295,21 @@ def _untested(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
 def _open_pairs(postings, shared, tested, percent) -> DataFrame:
     """All pairs of different components whose leading columns leave a link possible.
 
-    A pair needs a column that may be the first it shares. Of the leading columns, the
-    first block, c are the same; a row that links has no more common columns than c and
-    those behind the leading ones of the larger row, ``ceil(t * n) - 1``.
+    A pair needs a column that may be the first it shares, and enough leading columns, the
+    first block, that are the same.
     """
     rows = postings.select(
-        _column().alias("column"), "node", "n", _place().alias("pos"), _root(postings).alias("root")
+        _column().alias("column"),
+        *["node", "n", "lone"],
+        _place().alias("pos"),
+        _root(postings).alias("root"),
     )
     x, y = (rows.select("column", *[F.col(c).alias(f"{s}{c}") for c in rows.columns[1:]]) for s in "xy")
     met = x.join(y, "column").where(
         (F.col("xnode") < F.col("ynode"))
         & (F.col("xroot") != F.col("yroot"))
         & _reaches("x", "y", percent)
+        & _share_enough("x", "y", percent)
     )
     pairs = _untested(
         met.groupBy(F.col("xnode").alias("a"), F.col("ynode").alias("b")).agg(
@@ -297,11 +322,9 @@ def _open_pairs(postings, shared, tested, percent) -> DataFrame:
     leads = shared.join(ends, "node", "left_semi").groupBy("node")
     leads = leads.agg(F.collect_list(_column()).alias("columns"))
     counted = pairs.join(leads.toDF("a", "x"), "a").join(leads.toDF("b", "y"), "b")
-    behind = F.ceil(percent * F.greatest("n", "m") / 100) - 1
     # Columns of a row that agree in their upper bits are one in the intersection.
     c = F.size(F.array_intersect("x", "y")) + F.size("x") - F.size(F.array_distinct("x"))
-    enough = (100 + percent) * (c + behind) >= percent * (F.col("n") + F.col("m"))
-    return counted.where(enough).select("a", "b")
+    return counted.where(_enough(c, F.col("n"), F.col("m"), percent)).select("a", "b")
 
 
 def _verified(pairs, docs, rows, nodes, words: int, percent: int) -> DataFrame:

@@ -146,8 +146,8 @@ def shuffled_bytes(spark, run):
     def written():
         sc.listenerBus().waitUntilEmpty(30_000)
         stages = sc.statusStore().stageList(None, False, False, none, None)
-        stages = (stages.apply(i) for i in range(stages.size()))
-        return {(s.stageId(), s.attemptId()): s.shuffleWriteBytes() for s in stages}
+        done = [stages.apply(i) for i in range(stages.size())]
+        return {(s.stageId(), s.attemptId()): s.shuffleWriteBytes() for s in done}
 
     before = written()
     run()
