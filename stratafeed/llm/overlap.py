@@ -350,7 +350,7 @@ def _verified(pairs, docs, rows, nodes, words: int, percent: int) -> DataFrame:
     # Stored, so that Spark knows its size and spares the texts a shuffle if it is small.
     wanted = stored(left.unionByName(right).join(nodes.select("node", "mark"), "node"), "wanted")
     texts = _maybe_marked(docs, wanted).select("mark", "text")
-    # Texts are shuffled once more only if a wanted row is repeated as a whole.
+    # Made unique, which may shuffle the texts, only if a wanted row is repeated as a whole.
     repeated = rows.join(wanted, "mark", "left_semi").groupBy("mark").count().where("count > 1")
     if not repeated.isEmpty():
         texts = texts.dropDuplicates(["mark"])
