@@ -32,6 +32,7 @@ from stratafeed.plans import layers
 from stratafeed.schemas import MATCH_SCHEMA, PAYLOAD_SCHEMA, PLAYERS
 from stratafeed.sources import files, keyed
 from stratafeed.sources import partials as stored_partials
+from stratafeed.sources.storage import session_setting
 from stratafeed.streaming import finish, start
 
 from test_layers import Feed, entry, match, one_map, payload, players
@@ -331,6 +332,91 @@ def test_partial_rows_of_a_folder_are_written_by_several_tasks(spark, folder):
     assert stored.count() == 400 and len(sizes) > 8 and max(sizes) < 100
 
 
+def test_partial_rows_are_shuffled_once(spark):
+    rows = spark.createDataFrame(ROWS, COLUMNS)
+    with session_setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        with session_setting(spark, "spark.sql.adaptive.enabled", "false"):
+            fresh = partials_of(rows, rows.select("game"), SPEC)
+            given = fresh._jdf.queryExecution().executedPlan().children().apply(0).toString()
+    # Either side of the join by part, which the aggregate then takes as it lies.
+    assert "Join" in given and given.count("Exchange hashpartitioning") == 2
+
+
+def games(spark, first, last):
+    return spark.range(first, last).select(
+        F.lit(1).alias("k"), F.lit("a").alias("name"), F.col("id").cast("int").alias("game"),
+        F.lit(1).alias("at"), F.lit(1.0).alias("x"),
+    )
+
+
+def parquet_files(path):
+    return {str(f) for f in Path(path).glob("bucket=*/*.parquet")}
+
+
+def test_rows_of_new_games_leave_stored_files_alone(spark, folder, monkeypatch):
+    path, whole = f"{folder}/partials", games(spark, 0, 96)
+    refresh = stored_partials.refresh_partials
+    refresh(spark, path, f"{folder}/w0", whole, games(spark, 0, 32), SPEC, 4)
+    first = parquet_files(path)
+    stored, _ = refresh(spark, path, f"{folder}/w1", whole, games(spark, 32, 64), SPEC, 4)
+    second = parquet_files(path)
+    assert first < second and stored.count() == 64
+    # Once the files of a folder are many and small, they are written again.
+    monkeypatch.setattr(stored_partials, "_MOST_FILES", 1)
+    stored, keys = refresh(spark, path, f"{folder}/w2", whole, games(spark, 64, 96), SPEC, 4)
+    assert not second & parquet_files(path) and stored.count() == 96
+    assert shown(totals(stored, SPEC)) == {(1, "a"): (96, 96, 1, 1, 1.0)} and keys.count() == 1
+
+
+@pytest.mark.parametrize("first", [0, 32])
+def test_a_move_that_stopped_half_way_is_repeated(spark, folder, monkeypatch, first):
+    path, whole = f"{folder}/partials", games(spark, 0, 64)
+    refresh, move = stored_partials.refresh_partials, stored_partials.move_files
+    if first:
+        refresh(spark, path, f"{folder}/w0", whole, games(spark, 0, first), SPEC, 4)
+    moved = []
+
+    def stopped(spark, source, into):
+        if len(moved) == 2:
+            raise OSError("stopped")
+        moved.append(move(spark, source, into))
+
+    monkeypatch.setattr(stored_partials, "move_files", stopped)
+    with pytest.raises(OSError, match="stopped"):
+        refresh(spark, path, f"{folder}/w1", whole, games(spark, first, 64), SPEC, 4)
+    monkeypatch.setattr(stored_partials, "move_files", move)
+    stored, _ = refresh(spark, path, f"{folder}/w1", whole, games(spark, first, 64), SPEC, 4)
+    assert stored.count() == 64
+    assert shown(totals(stored, SPEC)) == {(1, "a"): (64, 64, 1, 1, 1.0)}
+
+
+def test_days_with_many_rows_are_found_without_a_shuffle(spark, folder, monkeypatch):
+    plans = []
+    monkeypatch.setattr(files, "overwrite_partitions", lambda df, *_: plans.append(plan(df)))
+    with session_setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        files.overwrite_days(dated(spark, (1, "2023-01-01")), f"{folder}/raw", "day")
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
+
+
+def test_raw_rows_are_not_sorted_by_kind(spark, folder, monkeypatch):
+    feed, seen = Feed(spark, folder), []
+    docs = spark.createDataFrame(
+        [json.loads(json.dumps(ODD_PAYLOADS[0]))], PAYLOAD_SCHEMA, verifySchema=False
+    )
+    docs.write.parquet(f"{feed.lake.raw('payloads')}/batch=0")
+    setting = layers.session_setting
+
+    def noted(session, name, value):
+        seen.append((name, value))
+        return setting(session, name, value)
+
+    monkeypatch.setattr(layers, "session_setting", noted)
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    layers.explode_details(spark, feed.lake)
+    assert seen == [(name, "2")] and spark.conf.get(name) == before
+
+
 def test_documents_are_compressed_in_files_of_bounded_size(spark, folder):
     docs = spark.range(50).select(F.struct(F.col("id").cast("int").alias("GameId")).alias("Game"))
     files.write_documents(docs.coalesce(1), f"{folder}/d", per_file=20)

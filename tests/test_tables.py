@@ -78,6 +78,17 @@ def test_increments_over_base(spark, folder, put):
     ]
 
 
+def test_increments_are_sorted_once(spark, folder):
+    for number in range(2):
+        rows = spark.createDataFrame([("a", number, "x"), ("b", number, "y")], SCHEMA)
+        keyed.write_increment(rows, f"{folder}/t", number)
+    current = keyed.read_current(spark, f"{folder}/t", PLAIN)
+    text = current._jdf.queryExecution().executedPlan().toString()
+    # Printed from the last step to the first.
+    assert text.rindex("Sort [") < text.index("Exchange hashpartitioning")
+    assert sorted(r.v for r in current.collect()) == [1, 1]
+
+
 def test_repeated_batch_changes_nothing(spark, folder, put):
     put(0, ("a", 1, "x"))
     put(1, ("a", 2, "y"))
